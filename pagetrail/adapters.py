@@ -165,7 +165,7 @@ def probe_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     probes = probe_results(spark, sf_dir)
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     head = F.concat(stamp, F.lit(" request="), F.col("request_id").cast("string"))
-    tail = F.concat(F.lit(" latency_ms="), F.format_string("%.1f", "latency_ms"), F.lit(" path=health"))
+    tail = F.concat(F.lit(" latency_ms="), F.col("latency_ms").cast("string"), F.lit(" path=health"))
     answered = F.concat(
         head, F.lit(" status="), F.col("status").cast("string"), F.lit(" zone="), F.col("zone"), tail
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.operators.split import FOLDS
+from pagetrail.session import materialize
 
 # A label with more classes than this is refused: each class becomes columns of the encoded frame.
 MAX_CLASSES = 200
@@ -60,6 +61,8 @@ def target_encode(
     per_fold = _class_counts(
         folded.withColumn("category", F.col(feature)), ["category", "fold"], label, classes
     ).filter("category IS NOT NULL")
+    # one row per category and fold, read several times below
+    per_fold = materialize(per_fold, "class-counts")
     per_category = add_up(per_fold, ["category"])
     seen = others(per_fold, per_category, ["category"]).unionByName(per_category.withColumn("fold", F.lit(FULL)))
 
@@ -69,7 +72,8 @@ def target_encode(
     priors = others(fold_totals, total, ["one"]).drop("one")
     priors = priors.unionByName(total.drop("one").withColumn("fold", F.lit(FULL)))
     whole = sum((F.col(f"n{i}") for i in each), F.lit(0))
-    priors = priors.select("fold", *[F.coalesce(F.try_divide(F.col(f"n{i}"), whole), F.lit(0.0)).alias(f"p{i}") for i in each])
+    shares = [F.coalesce(F.try_divide(F.col(f"n{i}"), whole), F.lit(0.0)).alias(f"p{i}") for i in each]
+    priors = priors.select("fold", *shares)
 
     encoded = seen.join(F.broadcast(priors), "fold").select(
         "category", "fold", *[_shares(F.col(f"n{i}"), whole, F.col(f"p{i}")).alias(f"te{i}") for i in each]
@@ -110,15 +114,18 @@ def long_encoding(encoding: DataFrame, feature: str, classes: list[str]) -> Data
     return encoding.select(F.lit(feature).alias("feature"), "category", "fold", F.inline(cells))
 
 
-def ordinal_encode(train: DataFrame, rows: DataFrame, features: list[str]) -> DataFrame:
-    """``rows`` with ``<feature>_index``: alphabetical position among the train values, -1 if not among them."""
+def fit_ordinals(train: DataFrame, features: list[str]) -> StringIndexerModel:
     indexer = StringIndexer(
         inputCols=features,
         outputCols=[f"{name}_index" for name in features],
         stringOrderType="alphabetAsc",
         handleInvalid="keep",
     )
-    model = indexer.fit(train)
+    return indexer.fit(train)
+
+
+def apply_ordinals(model: StringIndexerModel, rows: DataFrame, features: list[str]) -> DataFrame:
+    """``rows`` with ``<feature>_index``: alphabetical position among the train values, -1 if not among them."""
     indexed = model.transform(rows)
     for name, known in zip(features, model.labelsArray, strict=True):
         place = F.col(f"{name}_index")

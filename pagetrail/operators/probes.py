@@ -37,7 +37,7 @@ def zone_timeline(probes: DataFrame, width: str = "10 seconds", watermark: str |
     if watermark:
         answered = answered.withWatermark("ts", watermark)
     counted = answered.groupBy(F.window("ts", width), "zone").agg(
-        F.count("*").alias("requests"), F.count_if(succeeded(F.col("status"))).alias("successes")
+        F.count("*").alias("requests"), F.sum(succeeded(F.col("status")).cast("bigint")).alias("successes")
     )
     return counted.select(F.col("window.start").alias("window_start"), "zone", "requests", "successes")
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetrail.functions.logs import UNKNOWN, blank_to
+from pagetrail.session import materialize
 
 NO_IP = "0.0.0.0"
 NO_TIME = "00:00:00"
@@ -153,10 +154,23 @@ def fact_failed_events(failed: DataFrame) -> DataFrame:
     return failed.select(F.col("id").alias("failed_event_id"), "request_time", "requested_file", "error_code")
 
 
-def build_star(logs: DataFrame, failed: DataFrame) -> Star:
-    countries = dim_countries(logs)
-    ip_addresses = dim_ip_addresses(logs, countries)
-    demographics = dim_demographics(logs)
+def build_star(logs: DataFrame, failed: DataFrame, existing: Star | None = None) -> Star:
+    """The five tables. With ``existing`` its dimensions are extended and keep their ids; facts are built anew.
+
+    Dimensions are written before the facts use them, so each is computed from the log once.
+    """
+    if existing is None:
+        countries = materialize(dim_countries(logs), "countries")
+        ip_addresses = dim_ip_addresses(logs, countries)
+        demographics = dim_demographics(logs)
+    else:
+        names = logs.select(country_name().alias("country_name"))
+        countries = materialize(merge_dimension(existing.countries, names, "country_id"), "countries")
+        placed = modal_country(logs).join(countries, "country_name").select("client_ip", "country_id")
+        ip_addresses = upsert_ip_addresses(existing.ip_addresses, placed)
+        demographics = merge_dimension(existing.demographics, demographic_keys(logs), "demographic_id")
+    ip_addresses = materialize(ip_addresses, "ip-addresses")
+    demographics = materialize(demographics, "demographics")
     return Star(
         countries,
         ip_addresses,

@@ -62,11 +62,12 @@ def stats_report(logs: DataFrame, failed: DataFrame) -> DataFrame:
 
 def metric_values(logs: DataFrame) -> DataFrame:
     """(metric, value): each log row's contribution to the grouped statistics, for running counts."""
-    entries = F.array(
-        F.struct(F.lit("gender").alias("metric"), F.col("gender").alias("value")),
-        F.struct(F.lit("country"), F.col("country")),
-        F.struct(F.lit("age_group"), age_group(F.col("age"))),
-        F.struct(F.lit("income"), F.col("income")),
-        F.struct(F.lit("is_banned"), F.col("is_banned").cast("string")),
-    )
-    return logs.select(F.inline(entries))
+    values = {
+        "gender": F.col("gender"),
+        "country": F.col("country"),
+        "age_group": age_group(F.col("age")),
+        "income": F.col("income"),
+        "is_banned": F.col("is_banned").cast("string"),
+    }
+    entries = [F.struct(F.lit(name).alias("metric"), value.alias("value")) for name, value in values.items()]
+    return logs.select(F.inline(F.array(*entries)))

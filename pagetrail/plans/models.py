@@ -19,11 +19,11 @@ def _rows(spark, sf_dir):
 
 
 def _country_split(spark, sf_dir):
-    return split.country_split(_rows(spark, sf_dir))
+    return materialize(split.country_split(_rows(spark, sf_dir)), "country-split")
 
 
 def _income_split(spark, sf_dir):
-    return split.income_split(_rows(spark, sf_dir))
+    return materialize(split.income_split(_rows(spark, sf_dir)), "income-split")
 
 
 def country_split(spark, sf_dir):
@@ -55,7 +55,7 @@ def income_features(spark, sf_dir):
 def target_encode(spark, sf_dir):
     train = _income_split(spark, sf_dir).filter("NOT is_test")
     classes = encoding.classes_of(train, "income")
-    folded = split.with_folds(train, "income", "event_id", split.INCOME_SEED)
+    folded = materialize(split.with_folds(train, "income", "event_id", split.INCOME_SEED), "folds")
     tables = None
     for name in income.TARGET_ENCODED:
         cells = encoding.long_encoding(encoding.target_encode(folded, name, "income", classes), name, classes)
@@ -65,7 +65,9 @@ def target_encode(spark, sf_dir):
 
 def ordinal_encode(spark, sf_dir):
     parts = _income_split(spark, sf_dir)
-    encoded = encoding.ordinal_encode(parts.filter("NOT is_test"), parts, income.ORDINAL)
+    encoded = encoding.apply_ordinals(
+        encoding.fit_ordinals(parts.filter("NOT is_test"), income.ORDINAL), parts, income.ORDINAL
+    )
     return encoded.select("event_id", "gender", "time_of_day", "gender_index", "time_of_day_index")
 
 
@@ -87,8 +89,10 @@ def income_predictions(spark, sf_dir):
 
 def model_metrics(spark, sf_dir):
     rows = _rows(spark, sf_dir)
-    places = country.country_predictions(split.country_split(rows))
-    incomes = income.train_income_model(split.income_split(rows), ROUNDS, DEPTH, RATE).predictions
+    places = country.country_predictions(materialize(split.country_split(rows), "country-split"))
+    incomes = income.train_income_model(
+        materialize(split.income_split(rows), "income-split"), ROUNDS, DEPTH, RATE
+    ).predictions
     lines = income.model_metrics(
         country.accuracy(places, "country", "predicted_country").first()[0],
         country.accuracy(incomes, "actual_income", "predicted_income").first()[0],

@@ -99,7 +99,7 @@ ORACLE = {
            CASE WHEN status IS NOT NULL THEN zone END AS zone, latency_ms, error FROM probe_results""", "probe_results"),
     "parse_probe_log": duckdb(
         f"""SELECT 'probe' AS kind, date_trunc('second', ts) AS ts, CAST(NULL AS VARCHAR) AS marker, request_id, status,
-              CASE WHEN status IS NOT NULL THEN zone END AS zone, CAST(printf('%.1f', latency_ms) AS DOUBLE) AS latency_ms,
+              CASE WHEN status IS NOT NULL THEN zone END AS zone, latency_ms,
               'health' AS path, CASE WHEN status IS NULL THEN 'URLError' END AS error,
               CASE WHEN status IS NULL THEN 'timed out' END AS detail FROM probe_results
             UNION ALL SELECT 'marker', m.ts, m.marker, NULL, NULL, NULL, NULL, NULL, NULL, NULL

@@ -64,6 +64,12 @@ def corpus_first_n(spark: SparkSession, paths: str | list[str], n: int | None) -
     return corpus_scan(spark, listed)
 
 
+def file_totals(spark: SparkSession, paths: str | list[str]) -> dict[str, int]:
+    """Number and bytes of the HTML files, without opening them."""
+    totals = _files(spark, paths).agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    return totals.first().asDict()
+
+
 def require(condition: bool, message: str) -> None:
     if not condition:
         raise ValueError(message)

@@ -22,6 +22,7 @@ def current_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 def current_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(window_start, zone, requests, successes) of a running ``zone_timeline``."""
-    state = read_state(spark, checkpoint).select("key.*", "value.*")
+    # the state names its parts after the aggregates, count and sum
+    state = read_state(spark, checkpoint).select("key.*", "value.count", "value.sum")
     named = state.toDF("window", "zone", "requests", "successes")
     return named.select(F.col("window.start").alias("window_start"), "zone", "requests", "successes")
