@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Countries under embargo, compared exactly.
@@ -38,25 +36,50 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def header(headers: Column, name: str) -> Column:
-    """Value of a header whose name matches in any case; the first one if it is repeated."""
-    hits = F.filter(F.map_entries(headers), lambda entry: F.lower(entry["key"]) == name.lower())
-    return F.get(hits, F.lit(0))["value"]
+# Headers that carry client metadata.
+CLIENT_HEADERS = (
+    "X-country", "X-client-ip", "X-forwarded-for", "X-gender", "X-age", "X-income", "X-is-banned", "X-banned"
+)
+
+
+def with_headers(rows: DataFrame, names: tuple[str, ...] = CLIENT_HEADERS) -> DataFrame:
+    """``rows`` with one raw value column per wanted header, read by ``raw`` and ``first``.
+
+    Names match in any case and the first of a repeated header counts. The steps are separate projections, so each
+    value is worked out once per row however often it is used.
+    """
+    keyed = rows.withColumns(
+        {"_names": F.transform(F.map_keys("headers"), F.lower), "_values": F.map_values("headers")}
+    )
+    places = {
+        f"_raw_{name}": F.get("_values", (F.array_position("_names", F.lit(name.lower())) - 1).cast("int"))
+        for name in names
+    }
+    found = keyed.withColumns(places).drop("_names", "_values")
+    return found.withColumns({f"_text_{name}": strip(raw(name)) for name in names})
 
 
-def first_header(headers: Column, *names: str) -> Column:
-    """First non-blank value among ``names``, stripped; NULL if there is none."""
-    return F.coalesce(*[F.nullif(strip(header(headers, name)), F.lit("")) for name in names])
+def without_headers(rows: DataFrame) -> DataFrame:
+    return rows.drop(*[name for name in rows.columns if name.startswith(("_raw_", "_text_"))])
 
 
-def client_ip(headers: Column, remote_addr: Column) -> Column:
-    listed = F.coalesce(first_header(headers, "X-client-ip", "X-forwarded-for"), remote_addr, F.lit(""))
+def raw(name: str) -> Column:
+    return F.col(f"`_raw_{name}`")
+
+
+def first(*names: str) -> Column:
+    """First non-blank value among the headers ``names``, stripped; NULL if there is none."""
+    texts = [F.col(f"`_text_{name}`") for name in names]
+    return F.coalesce(*[F.when(text != "", text) for text in texts])
+
+
+def client_ip(remote_addr: Column) -> Column:
+    listed = F.coalesce(first("X-client-ip", "X-forwarded-for"), remote_addr, F.lit(""))
     return F.when(F.contains(listed, F.lit(",")), strip(F.split_part(listed, F.lit(","), F.lit(1)))).otherwise(listed)
 
 
-def age(raw: Column) -> Column:
-    """Whole years by truncation; NULL for anything that is not a finite number."""
-    text = strip(raw)
+def age(text: Column) -> Column:
+    """Whole years by truncation of stripped text; NULL for anything that is not a finite number."""
     number = F.when(F.regexp_like(text, F.lit(FLOAT_TEXT)), F.replace(text, F.lit("_"), F.lit("")))
     return number.try_cast("double").try_cast("int")
 
@@ -65,8 +88,8 @@ def is_embargoed(country: Column) -> Column:
     return F.coalesce(country.isin(*EMBARGOED_COUNTRIES), F.lit(False))
 
 
-def is_banned(headers: Column, country: Column) -> Column:
-    flag = F.lower(F.coalesce(first_header(headers, "X-is-banned", "X-banned"), F.lit("")))
+def is_banned(country: Column) -> Column:
+    flag = F.lower(F.coalesce(first("X-is-banned", "X-banned"), F.lit("")))
     return flag.isin(*BANNED_FLAGS) | is_embargoed(country)
 
 
@@ -86,6 +109,3 @@ def page_of_last_segment(path: Column) -> Column:
     """Page name behind a path whose directories are ignored."""
     return with_html_suffix(F.substring_index(path, "/", -1))
 
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda left, right: left | right, conditions, F.lit(False))

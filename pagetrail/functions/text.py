@@ -64,7 +64,13 @@ def words(content: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.regexp_replace(content, TAG, " ")), F.lit(WORD), F.lit(0))
 
 
-def bigrams(tokens: Column) -> Column:
-    """``"w1 w2"`` for each pair of neighbours; empty below two words."""
-    followers = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    return F.transform(followers, lambda word, i: F.concat(F.get(tokens, i), F.lit(" "), word))
+def word_pairs(tokens: Column) -> Column:
+    """Structs (first, second) of neighbouring words; empty below two words."""
+    pairs = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.arrays_zip(
+        F.slice(tokens, F.lit(1), pairs).alias("first"), F.slice(tokens, F.lit(2), pairs).alias("second")
+    )
+
+
+def bigram(first: Column, second: Column) -> Column:
+    return F.concat(first, F.lit(" "), second)

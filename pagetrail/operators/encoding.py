@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetrail.operators.split import FOLDS
@@ -52,11 +52,11 @@ def target_encode(
     def add_up(rows: DataFrame, keys: list[str]) -> DataFrame:
         return rows.groupBy(*keys).agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in each])
 
-    def others(part: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
-        """Counts outside each fold."""
-        totals = whole.select(*keys, *[F.col(f"n{i}").alias(f"t{i}") for i in each])
-        joined = part.join(totals, keys)
-        return joined.select(*keys, "fold", *[(F.col(f"t{i}") - F.col(f"n{i}")).alias(f"n{i}") for i in each])
+    def outside(rows: DataFrame, *keys: str) -> DataFrame:
+        """Counts outside each fold, out of one row per fold and key."""
+        whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+        counts = [(F.sum(f"n{i}").over(whole) - F.col(f"n{i}")).alias(f"n{i}") for i in each]
+        return rows.select(*keys, "fold", *counts)
 
     per_fold = _class_counts(
         folded.withColumn("category", F.col(feature)), ["category", "fold"], label, classes
@@ -64,13 +64,11 @@ def target_encode(
     # one row per category and fold, read several times below
     per_fold = materialize(per_fold, "class-counts")
     per_category = add_up(per_fold, ["category"])
-    seen = others(per_fold, per_category, ["category"]).unionByName(per_category.withColumn("fold", F.lit(FULL)))
+    seen = outside(per_fold, "category").unionByName(per_category.withColumn("fold", F.lit(FULL)))
 
-    # class totals: at most folds + 1 rows
-    fold_totals = add_up(per_fold, ["fold"]).withColumn("one", F.lit(1))
-    total = add_up(per_fold, []).withColumn("one", F.lit(1))
-    priors = others(fold_totals, total, ["one"]).drop("one")
-    priors = priors.unionByName(total.drop("one").withColumn("fold", F.lit(FULL)))
+    # class totals: one row per fold
+    fold_totals = add_up(per_fold, ["fold"])
+    priors = outside(fold_totals).unionByName(add_up(per_fold, []).withColumn("fold", F.lit(FULL)))
     whole = sum((F.col(f"n{i}") for i in each), F.lit(0))
     shares = [F.coalesce(F.try_divide(F.col(f"n{i}"), whole), F.lit(0.0)).alias(f"p{i}") for i in each]
     priors = priors.select("fold", *shares)

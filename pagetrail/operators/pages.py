@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagetrail.functions import text
 
 TOP = 5
+KINDS = ("outgoing", "incoming", "bigram")
 
 
 def extract_links(corpus: DataFrame) -> DataFrame:
@@ -38,7 +39,8 @@ def page_tokens(corpus: DataFrame) -> DataFrame:
 
 def page_bigrams(corpus: DataFrame) -> DataFrame:
     """(file_id, bigram) per pair of neighbouring words; no shuffle."""
-    return page_tokens(corpus).select("file_id", F.explode(text.bigrams(F.col("words"))).alias("bigram"))
+    pairs = page_tokens(corpus).select("file_id", F.inline(text.word_pairs(F.col("words"))))
+    return pairs.select("file_id", text.bigram(F.col("first"), F.col("second")).alias("bigram"))
 
 
 def bigram_counts(corpus: DataFrame) -> DataFrame:
@@ -60,23 +62,20 @@ def top_lists(corpus: DataFrame, n: int = TOP) -> DataFrame:
         "file_id",
         text.link_targets(F.col("content")).alias("targets"),
         text.words(F.col("content")).alias("words"),
-    ).withColumn("pairs", text.bigrams(F.col("words")))
+    ).withColumn("pairs", text.word_pairs(F.col("words")))
 
     def entry(kind: str, item, n):
-        return F.struct(F.lit(kind).alias("kind"), item.alias("item"), n.cast("bigint").alias("n"))
+        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), item.alias("item"), n.alias("n"))
 
     emitted = F.concat(
         F.array(entry("outgoing", F.col("file_id").cast("string"), F.size("targets"))),
         F.transform("targets", lambda target: entry("incoming", target, F.lit(1))),
-        F.transform("pairs", lambda pair: entry("bigram", pair, F.lit(1))),
-    )
-    counts = (
-        parsed.select(F.explode(emitted).alias("e"))
-        .groupBy(F.col("e.kind").alias("kind"), F.col("e.item").alias("item"))
-        .agg(F.sum("e.n").alias("count"))
+        F.transform("pairs", lambda pair: entry("bigram", text.bigram(pair["first"], pair["second"]), F.lit(1))),
     )
+    counts = parsed.select(F.inline(emitted)).groupBy("kind", "item").agg(F.sum("n").alias("count"))
     order = Window.partitionBy("kind").orderBy(F.desc("count"), F.asc("item"))
-    return counts.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= n)
+    ranked = counts.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= n)
+    return ranked.withColumn("kind", F.get(F.array(*[F.lit(kind) for kind in KINDS]), F.col("kind")))
 
 
 def format_top_links(tops: DataFrame) -> DataFrame:

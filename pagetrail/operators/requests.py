@@ -71,22 +71,23 @@ def fill(template: str, **values: Column) -> Column:
 
 def parse_headers(requests: DataFrame) -> DataFrame:
     """Requests (method, path, headers, remote_addr, ts, ...) with their client metadata in place of the headers."""
-    headers = F.col("headers")
-    country = F.coalesce(http.first_header(headers, "X-country"), F.lit(""))
-    return requests.select(
-        *[name for name in requests.columns if name not in ("headers", "remote_addr")],
+    kept = [name for name in requests.columns if name not in ("headers", "remote_addr")]
+    first = http.first
+    country = F.coalesce(first("X-country"), F.lit(""))
+    return http.with_headers(requests).select(
+        *kept,
         country.alias("country"),
-        http.client_ip(headers, F.col("remote_addr")).alias("client_ip"),
-        F.coalesce(http.first_header(headers, "X-gender"), F.lit(UNKNOWN)).alias("gender"),
-        http.age(http.first_header(headers, "X-age")).alias("age"),
-        F.coalesce(http.first_header(headers, "X-income"), F.lit(UNKNOWN)).alias("income"),
-        http.is_banned(headers, country).alias("is_banned"),
+        http.client_ip(F.col("remote_addr")).alias("client_ip"),
+        F.coalesce(first("X-gender"), F.lit(UNKNOWN)).alias("gender"),
+        http.age(first("X-age")).alias("age"),
+        F.coalesce(first("X-income"), F.lit(UNKNOWN)).alias("income"),
+        http.is_banned(country).alias("is_banned"),
         time_of_day(F.col("ts")).alias("time_of_day"),
     )
 
 
 def _country(profile: Profile) -> Column:
-    raw = http.header(F.col("headers"), "X-country")
+    raw = http.raw("X-country")
     return F.coalesce(http.strip(raw) if profile.strips_country else raw, F.lit(""))
 
 
@@ -108,7 +109,7 @@ def decide(requests: DataFrame, profile: str, bucket: str = DEFAULT_BUCKET) -> D
     reserved = F.when((F.col("method") == "GET") & F.col("path").isin(*rules.reserved), F.lit(RESERVED))
     not_implemented = F.when(F.col("method") != "GET", F.lit(NOT_IMPLEMENTED))
     return (
-        requests.withColumn("routed_country", _country(rules))
+        http.without_headers(http.with_headers(requests, ("X-country",)).withColumn("routed_country", _country(rules)))
         .withColumn("outcome", F.coalesce(*([reserved] if rules.reserved else []), not_implemented, *checks))
         .withColumn("page", F.when(F.col("outcome").isNull(), _page(rules, bucket)))
     )

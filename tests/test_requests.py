@@ -81,7 +81,7 @@ def test_headers(spark):
 
 def test_age(spark):
     texts = ["12.9", "abc", "", " 67 ", "-3.7", "1_0", "1e2", "inf", "nan", "12f", "0x10", ".5", "5.", "1e400", "99999999999"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select(http.age(F.col("t")).alias("age"))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(http.age(http.strip(F.col("t"))).alias("age"))
     assert [row.age for row in df.collect()] == [12, None, None, 67, -3, 10, 100, None, None, None, None, 0, 5, None, None]
 
 
