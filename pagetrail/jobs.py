@@ -27,7 +27,14 @@ def _lines(spark: SparkSession, lines: list[str]) -> DataFrame:
 def corpus_report(
     spark: SparkSession, source: str, output: str, max_files: int | None = None, on_bad_utf8: str = "drop"
 ) -> None:
-    """Top in-links, out-links and bigrams of a folder or pattern of HTML files, one text folder each."""
+    """Top in-links, out-links and bigrams of a folder or pattern of HTML files, one text folder each.
+
+    ``source`` may also be a table written by ``compact_corpus``.
+    """
+    if corpus.is_table(spark, source):
+        lists = pages.top_lists(spark.read.parquet(source))
+        _write_top_lists(materialize(pages.format_top_links(lists), "top-lists"), output)
+        return
     found = corpus.file_totals(spark, source)
     corpus.require(found["files"] > 0, f"no HTML files under {source}")
     if max_files is not None and max_files > 0:
@@ -36,18 +43,26 @@ def corpus_report(
     else:
         scanned = corpus.corpus_scan(spark, source, on_bad_utf8)
         used = found["files"]
-    report = materialize(pages.format_top_links(pages.top_lists(scanned)), "top-lists")
-    for kind, name in TOP_FILES.items():
-        write_lines(report.filter(F.col("kind") == kind).orderBy("position"), f"{output}/{name}")
+    _write_top_lists(materialize(pages.format_top_links(pages.top_lists(scanned)), "top-lists"), output)
     summary = [f"Input: {source}", f"Files processed: {used}", f"Bytes found: {found['bytes']}"]
     if used < found["files"]:
         summary.append(f"(Subset of {found['files']} files.)")
     write_lines(_lines(spark, summary), f"{output}/run")
 
 
+def _write_top_lists(report: DataFrame, output: str) -> None:
+    for kind, name in TOP_FILES.items():
+        write_lines(report.filter(F.col("kind") == kind).orderBy("position"), f"{output}/{name}")
+
+
+def compact_corpus(spark: SparkSession, source: str, output: str, on_bad_utf8: str = "drop") -> None:
+    """HTML files to one parquet table (path, file_id, content), so that later jobs list and open few large files."""
+    corpus.corpus_scan(spark, source, on_bad_utf8).write.mode("overwrite").parquet(output)
+
+
 def page_rank_report(spark: SparkSession, source: str, output: str) -> None:
     """Degree statistics, all ranks and the top five of a folder of numbered HTML files."""
-    scanned = corpus.corpus_scan_numeric(spark, source)
+    scanned = corpus.numbered_pages(spark, source)
     links = materialize(pages.extract_links_numeric(scanned), "page-links")
     nodes = links.select(F.col("file_id").alias("node"))
     corpus.require(not nodes.isEmpty(), f"no numbered HTML files under {source}")
@@ -78,7 +93,7 @@ def stats_lines(spark: SparkSession, logs_path: str, output: str) -> None:
     logs = spark.read.parquet(f"{logs_path}/request_logs")
     failed = spark.read.parquet(f"{logs_path}/failed_request_logs")
     report = stats.stats_report(logs, failed)
-    write_lines(report.select(F.concat_ws(": ", "metric", "row").alias("line")), output)
+    report.select(F.concat_ws(": ", "metric", "row").alias("line")).write.mode("overwrite").text(output)
 
 
 def migrate(spark: SparkSession, logs_path: str, output: str, previous: str | None = None) -> None:
@@ -141,6 +156,7 @@ def _parser() -> argparse.ArgumentParser:
         return added
 
     job("corpus-report", "--pages", "--output").add_argument("--max-files", type=int)
+    job("compact-corpus", "--pages", "--output")
     job("page-rank", "--pages", "--output")
     job("stats", "--logs", "--output")
     job("migrate", "--logs", "--output").add_argument("--previous")
@@ -156,6 +172,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session(f"pagetrail-{options.job}")
     if options.job == "corpus-report":
         corpus_report(spark, options.pages, options.output, options.max_files)
+    elif options.job == "compact-corpus":
+        compact_corpus(spark, options.pages, options.output)
     elif options.job == "page-rank":
         page_rank_report(spark, options.pages, options.output)
     elif options.job == "stats":

@@ -11,6 +11,8 @@ from pagetrail.session import materialize
 
 # A label with more classes than this is refused: each class becomes columns of the encoded frame.
 MAX_CLASSES = 200
+# A feature with more values than this is refused as an ordinal: the fitted model lists them all.
+MAX_ORDINALS = 1_000_000
 FULL = -1
 
 
@@ -113,6 +115,11 @@ def long_encoding(encoding: DataFrame, feature: str, classes: list[str]) -> Data
 
 
 def fit_ordinals(train: DataFrame, features: list[str]) -> StringIndexerModel:
+    """Alphabetical positions of the train values. The model holds all values, so their number is checked first."""
+    sizes = train.agg(*[F.count_distinct(name).alias(name) for name in features]).first().asDict()
+    for name, size in sizes.items():
+        if size > MAX_ORDINALS:
+            raise ValueError(f"{name} has {size} values; at most {MAX_ORDINALS} can be encoded as ordinals")
     indexer = StringIndexer(
         inputCols=features,
         outputCols=[f"{name}_index" for name in features],

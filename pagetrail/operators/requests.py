@@ -124,7 +124,7 @@ def route_requests(
     own, which match no page and spread evenly, so they do not gather in the task of the NULL key.
     """
     decided = decide(requests, profile, bucket)
-    own_key = F.concat(F.lit("#"), F.xxhash64("path", "ts").cast("string"))
+    own_key = F.concat(F.lit("#"), F.col("request_id").cast("string"))
     known = pages.select(F.col("page").alias("_known"))
     looked_up = decided.withColumn("_key", F.coalesce("page", own_key)).join(
         known, F.col("_key") == F.col("_known"), "left"

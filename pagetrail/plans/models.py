@@ -40,6 +40,11 @@ def country_predictions(spark, sf_dir):
     return country.country_predictions(_country_split(spark, sf_dir))
 
 
+def country_accuracy(spark, sf_dir):
+    predicted = country.country_predictions(_country_split(spark, sf_dir))
+    return country.accuracy(predicted, "country", "predicted_country").select(F.round("accuracy", 9).alias("accuracy"))
+
+
 def income_split(spark, sf_dir):
     return _income_split(spark, sf_dir).select("event_id", "income", "is_test")
 
@@ -103,7 +108,7 @@ def model_metrics(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        country_split, country_model, country_predictions, income_split, split_drift, income_features, target_encode,
+        country_split, country_model, country_predictions, country_accuracy, income_split, split_drift, income_features, target_encode,
         ordinal_encode, income_model, income_predictions, model_metrics,
     )
 }
@@ -165,6 +170,10 @@ ORACLE = {
         f"""SELECT event_id, client_ip, country, COALESCE(predicted_country, ({_MAJORITY})) AS predicted_country
             FROM parts LEFT JOIN model USING (client_ip) WHERE is_test""",
         "request_logs", **_STAR, parts=_COUNTRY_SPLIT, model=_MODEL),
+    "country_accuracy": duckdb(
+        f"""SELECT ROUND(AVG(CASE WHEN country = COALESCE(predicted_country, ({_MAJORITY})) THEN 1e0 ELSE 0e0 END), 9)
+            AS accuracy FROM parts LEFT JOIN model USING (client_ip) WHERE is_test""",
+        "request_logs", **_STAR, parts=_COUNTRY_SPLIT, model=_MODEL),
     "income_split": duckdb("SELECT event_id, income, is_test FROM parts", "request_logs", **_SPLIT),
     "split_drift": duckdb(
         """SELECT ROUND(MAX(abs(CAST(t AS DOUBLE) / tt - CAST(n AS DOUBLE) / nn)), 9) AS max_drift FROM (

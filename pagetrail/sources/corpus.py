@@ -64,6 +64,20 @@ def corpus_first_n(spark: SparkSession, paths: str | list[str], n: int | None) -
     return corpus_scan(spark, listed)
 
 
+def is_table(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a finished parquet table and not a folder of HTML files."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("ignoreMissingFiles", "true")
+    return not listed.load(path).select("path").isEmpty()
+
+
+def numbered_pages(spark: SparkSession, source: str) -> DataFrame:
+    """``corpus_scan_numeric`` of a folder, or the numbered pages of a compacted table."""
+    if not is_table(spark, source):
+        return corpus_scan_numeric(spark, source)
+    pages = spark.read.parquet(source).withColumn("file_id", text.numeric_file_id(F.col("path")))
+    return pages.filter("file_id IS NOT NULL")
+
+
 def file_totals(spark: SparkSession, paths: str | list[str]) -> dict[str, int]:
     """Number and bytes of the HTML files, without opening them."""
     totals = _files(spark, paths).agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))

@@ -33,7 +33,7 @@ def advance_state(stream: DataFrame, checkpoint: str) -> None:
     """Process everything available into the state of an aggregating query; no output is sent anywhere."""
     (
         stream.writeStream.format("noop")
-        .outputMode("complete")
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -73,6 +73,17 @@ def test_page_rank_job(spark, folder, tmp_path):
     assert spark.read.json(f"{out}/degree_stats").count() == 2
 
 
+def test_compacted_corpus_gives_the_same_reports(spark, folder, tmp_path):
+    table = f"{tmp_path}/table"
+    jobs.compact_corpus(spark, folder, table)
+    jobs.corpus_report(spark, folder, f"{tmp_path}/a")
+    jobs.corpus_report(spark, table, f"{tmp_path}/b")
+    for name in jobs.TOP_FILES.values():
+        assert read(spark, f"{tmp_path}/a/{name}") == read(spark, f"{tmp_path}/b/{name}")
+    jobs.page_rank_report(spark, table, f"{tmp_path}/ranks")
+    assert spark.read.parquet(f"{tmp_path}/ranks/ranks").count() == 3
+
+
 def test_empty_folder_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError):
         jobs.corpus_report(spark, str(tmp_path), f"{tmp_path}/out")
