@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.operators.graph import out_degree
-from pagetrail.session import materialize
+from pagetrail.session import materialize, remove_scratch, scratch_path
 
 DAMPING = 0.85
 BASE_RANK = 0.15
@@ -103,9 +103,10 @@ def page_rank(
     below ``tolerance`` and returns the ranks *before* that last step. With ``fixed_iterations`` it runs that many
     steps and returns the last.
 
-    Each step's ranks are written to the shared folder, so the plan stays one step long. The driver sees one number
-    per step.
+    Each step's ranks are written to the shared folder, so the plan stays one step long, and the ranks before them are
+    removed. The driver sees one number per step.
     """
+    spark = nodes.sparkSession
     # a text-free copy of the input, so that the steps below do not compute it again
     edges = materialize(edges.select("src", "dst", "mult"), "edges")
     nodes = materialize(nodes.select("node").distinct(), "nodes")
@@ -113,7 +114,8 @@ def page_rank(
     if n == 0:
         raise ValueError("no nodes to rank")
     links = _Links(nodes, edges, heavy_targets)
-    state = materialize(out_degree(nodes, edges).withColumn("pr", F.lit(1.0 / n)), "ranks")
+    state_path = scratch_path(spark, "ranks")
+    state = materialize(out_degree(nodes, edges).withColumn("pr", F.lit(1.0 / n)), "ranks", state_path)
     changes: list[float] = []
     try:
         for _ in range(fixed_iterations if fixed_iterations is not None else max_iterations):
@@ -122,11 +124,14 @@ def page_rank(
             step = state.join(gains, "node", "left").select(
                 "node", "out_links", new_rank.alias("pr"), F.abs(new_rank - F.col("pr")).alias("moved")
             )
-            written = materialize(step, "ranks")
+            written_path = scratch_path(spark, "ranks")
+            written = materialize(step, "ranks", written_path)
             changes.append(written.agg(F.sum("moved")).first()[0])
             if fixed_iterations is None and changes[-1] < tolerance:
+                remove_scratch(spark, written_path)
                 break
-            state = written.drop("moved")
+            remove_scratch(spark, state_path)
+            state, state_path = written.drop("moved"), written_path
     finally:
         links.release()
     return PageRankResult(state.select("node", "pr"), changes)

@@ -16,9 +16,10 @@ FOLDS = 5
 def country_split(rows: DataFrame, seed: int = COUNTRY_SEED) -> DataFrame:
     """Rows with ``is_test``: of each IP's n rows, ceil(0.2 n) are test rows; IPs with one row are all train.
 
-    If no IP has two rows, the split is over all rows at once. Rows without IP or country are left out.
+    If no IP has two rows, the split is over all rows at once. Rows without IP or country are left out, and only
+    event_id, client_ip and country are carried.
     """
-    data = rows.dropna(subset=["client_ip", "country"])
+    data = rows.select("event_id", "client_ip", "country").dropna(subset=["client_ip", "country"])
     largest = data.groupBy("client_ip").agg(F.count("*").alias("n")).agg(F.max("n")).scalar()
     grouped = data.withColumn("_group", F.when(largest >= 2, F.col("client_ip")).otherwise(F.lit("")))
     ranked = hash_rank(grouped, "_group", "event_id", seed)

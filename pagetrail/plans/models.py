@@ -27,7 +27,7 @@ def _income_split(spark, sf_dir):
 
 
 def country_split(spark, sf_dir):
-    return _country_split(spark, sf_dir).select("event_id", "client_ip", "country", "is_test")
+    return _country_split(spark, sf_dir)
 
 
 def country_model(spark, sf_dir):

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pagetrail import adapters
-from pagetrail.adapters import duckdb, table
+from pagetrail.adapters import duckdb, existing_pages, table
 from pagetrail.operators.probes import zone_timeline
 from pagetrail.plans.probes import TIMELINE_SQL
-from pagetrail.plans.requests import CHANNEL_SQL
+from pagetrail.plans.requests import CHANNEL_SQL, FAILED_LOG_SQL, REQUEST_LOG_SQL, ROUTED_CTES
 from pagetrail.plans.stats import AGE_GROUP_SQL
 from pagetrail.session import scratch_path
-from pagetrail.streaming import forbidden, runs, stats
+from pagetrail.streaming import forbidden, logs, runs, stats
 
 
 def _event_stream(spark, sf_dir):
@@ -22,6 +22,20 @@ def forbidden_stream(spark, sf_dir):
     return runs.appended(forbidden.forbidden_stream(requests), "forbidden")
 
 
+def _logged(spark, sf_dir, log):
+    requests = adapters.as_http_requests(_event_stream(spark, sf_dir))
+    rows = logs.log_stream(requests, existing_pages(spark, sf_dir), log)
+    return runs.appended(rows, log.replace("_", "-")).drop("day")
+
+
+def request_log_stream(spark, sf_dir):
+    return _logged(spark, sf_dir, "request_logs")
+
+
+def failed_log_stream(spark, sf_dir):
+    return _logged(spark, sf_dir, "failed_request_logs")
+
+
 def stats_stream(spark, sf_dir):
     checkpoint = scratch_path(spark, "stats-checkpoint")
     runs.advance_state(stats.running_counts(adapters.as_request_logs(_event_stream(spark, sf_dir))), checkpoint)
@@ -35,7 +49,10 @@ def zone_timeline_stream(spark, sf_dir):
     return stats.current_windows(spark, checkpoint)
 
 
-QUERIES = {f.__name__: f for f in (forbidden_stream, stats_stream, zone_timeline_stream)}
+QUERIES = {
+    f.__name__: f
+    for f in (forbidden_stream, request_log_stream, failed_log_stream, stats_stream, zone_timeline_stream)
+}
 
 
 def _count(metric: str, value: str) -> str:
@@ -44,6 +61,8 @@ def _count(metric: str, value: str) -> str:
 
 ORACLE = {
     "forbidden_stream": CHANNEL_SQL,
+    "request_log_stream": duckdb(REQUEST_LOG_SQL, "http_requests", **ROUTED_CTES),
+    "failed_log_stream": duckdb(FAILED_LOG_SQL, "http_requests", **ROUTED_CTES),
     "stats_stream": duckdb(
         " UNION ALL ".join([
             _count("gender", "gender"), _count("country", "country"), _count("age_group", AGE_GROUP_SQL),

@@ -51,13 +51,22 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/pagetrail/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table below the shared folder that nothing reads any more."""
+    if not path.startswith(f"{shared_root(spark)}/pagetrail/"):
+        raise ValueError(f"{path} is not a scratch table")
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
     The result has no lineage beyond its files, so a lost executor costs a re-read and not a re-computation,
     and its file sizes give the optimizer real statistics.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, purpose)
+    path = path or scratch_path(spark, purpose)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

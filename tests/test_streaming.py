@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from pagetrail import jobs
 from pagetrail.operators import probes as probe_ops
-from pagetrail.operators.requests import channel_lines, forbidden_events
-from pagetrail.streaming import forbidden, runs, stats
+from pagetrail.operators.requests import channel_lines, forbidden_events, route_requests
+from pagetrail.streaming import forbidden, logs, runs, stats
 
 SCHEMA = "request_id long, ts timestamp, method string, path string, headers map<string,string>, remote_addr string"
 START = datetime(2024, 1, 1)
@@ -31,6 +31,22 @@ def test_forbidden_stream_appends_once_over_runs(spark, tmp_path, rows):
     assert rows(spark.read.parquet(f"{out}/lines")) == rows(batch)
 
 
+def test_logs_append_once_over_runs_and_feed_the_report(spark, tmp_path, rows):
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    pages = spark.createDataFrame([("1.html",), ("2.html",), ("3.html",)], "page string")
+    arrivals(spark, source, range(6))
+    stream = runs.read_arrivals(spark, source, spark.read.parquet(source).schema)
+    logs.append_logs(stream, pages, out)
+    arrivals(spark, source, range(6, 9))
+    logs.append_logs(stream, pages, out)
+    routed = route_requests(spark.read.parquet(source), pages)
+    for name, build in logs.LOGS.items():
+        assert rows(spark.read.parquet(f"{out}/{name}").drop("day")) == rows(build(routed))
+    jobs.stats_lines(spark, out, f"{tmp_path}/report")
+    lines = [r.value for r in spark.read.text(f"{tmp_path}/report").collect()]
+    assert 'top_5_countries: {"country":"Cuba","count":6}' in lines
+
+
 def test_running_counts_grow(spark, tmp_path, rows):
     source, checkpoint = f"{tmp_path}/logs", f"{tmp_path}/checkpoint"
 
