@@ -64,15 +64,23 @@ def top_lists(corpus: DataFrame, n: int = TOP) -> DataFrame:
         text.words(F.col("content")).alias("words"),
     ).withColumn("pairs", text.word_pairs(F.col("words")))
 
-    def entry(kind: str, item, n):
-        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), item.alias("item"), n.alias("n"))
-
+    # entries (first, second, n): an outgoing count has n, a bigram has both words, an incoming link neither
+    no_words, no_counts = F.array().cast("array<string>"), F.array().cast("array<int>")
     emitted = F.concat(
-        F.array(entry("outgoing", F.col("file_id").cast("string"), F.size("targets"))),
-        F.transform("targets", lambda target: entry("incoming", target, F.lit(1))),
-        F.transform("pairs", lambda pair: entry("bigram", text.bigram(pair["first"], pair["second"]), F.lit(1))),
+        F.arrays_zip(
+            F.array(F.col("file_id").cast("string")).alias("first"), no_words.alias("second"),
+            F.array(F.size("targets")).alias("n"),
+        ),
+        F.arrays_zip(F.col("targets").alias("first"), no_words.alias("second"), no_counts.alias("n")),
+        F.arrays_zip(F.col("pairs.first").alias("first"), F.col("pairs.second").alias("second"), no_counts.alias("n")),
+    )
+    kind = F.when(F.col("n").isNotNull(), 0).when(F.col("second").isNull(), 1).otherwise(2)
+    counts = (
+        parsed.select(F.inline(emitted))
+        .groupBy(kind.alias("kind"), "first", "second")
+        .agg(F.sum(F.coalesce("n", F.lit(1))).alias("count"))
+        .select("kind", F.concat_ws(" ", "first", "second").alias("item"), "count")
     )
-    counts = parsed.select(F.inline(emitted)).groupBy("kind", "item").agg(F.sum("n").alias("count"))
     order = Window.partitionBy("kind").orderBy(F.desc("count"), F.asc("item"))
     ranked = counts.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= n)
     return ranked.withColumn("kind", F.get(F.array(*[F.lit(kind) for kind in KINDS]), F.col("kind")))

@@ -5,27 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_SLICE_DIGITS = 4
+# A group larger than this is cut into slices of about this many rows or fewer.
+SLICE_ROWS = 65_536
+_HEX = 16
+_MOST_DIGITS = 8
 
 
 def hash_rank(
-    rows: DataFrame, group: str, row_id: str, seed: int, per_group: DataFrame | None = None
+    rows: DataFrame,
+    group: str,
+    row_id: str,
+    seed: int,
+    per_group: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Adds ``rank``, the 1-based position of each row in its group, and ``group_rows``.
 
-    The order is md5("<seed>:<id>"), then id: repeatable and the same in any SQL engine. The first hex digits of the
-    hash cut each group into up to 65,536 slices of equal size. Slice sizes give every slice its first position, and
-    rows are numbered per slice, so even a group with a third of all rows is spread over all tasks.
+    The order is md5("<seed>:<id>"), then id: repeatable and the same in any SQL engine. Leading hex digits of the
+    hash cut a large group into slices of equal size, as many digits as its size asks for. Slice sizes give every
+    slice its first position, and rows are numbered per slice, so even a group with a third of all rows is spread over
+    all tasks.
 
     ``group`` must not be NULL. Columns of ``per_group`` (one row per group) are carried along.
     """
+    sizes = rows.groupBy(group).agg(F.count("*").alias("_size"))
+    digits = F.least(F.ceil(F.log(float(_HEX), F.col("_size") / slice_rows)), F.lit(_MOST_DIGITS)).cast("int")
+    large = sizes.filter(F.col("_size") > slice_rows).select(group, digits.alias("_digits"))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
-    keyed = rows.withColumn("_digest", digest).withColumn("_slice", F.substring("_digest", 1, _SLICE_DIGITS))
+    keyed = (
+        rows.withColumn("_digest", digest)
+        .join(large, group, "left")
+        .withColumn("_slice", F.substr("_digest", F.lit(1), F.coalesce("_digits", F.lit(0))))
+        .drop("_digits")
+    )
 
-    sizes = keyed.groupBy(group, "_slice").agg(F.count("*").alias("_rows"))
+    counted = keyed.groupBy(group, "_slice").agg(F.count("*").alias("_rows"))
     whole = Window.partitionBy(group)
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = sizes.select(
+    slices = counted.select(
         group,
         "_slice",
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),

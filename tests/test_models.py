@@ -18,12 +18,13 @@ def skewed(spark):
     return spark.range(3000).select(F.col("id").alias("event_id"), key.alias("g"))
 
 
-def test_rank_of_a_hot_group_equals_brute_force(skewed):
+@pytest.mark.parametrize("slice_rows", [5, 100, 65_536])
+def test_rank_of_a_hot_group_equals_brute_force(skewed, slice_rows):
     groups = defaultdict(list)
     for row in skewed.collect():
         groups[row.g].append((hashlib.md5(f"3:{row.event_id}".encode()).hexdigest(), row.event_id))
     expected = {e: (i, len(v)) for v in groups.values() for i, (_, e) in enumerate(sorted(v), 1)}
-    ranked = hash_rank(skewed, "g", "event_id", 3).collect()
+    ranked = hash_rank(skewed, "g", "event_id", 3, slice_rows=slice_rows).collect()
     assert {r.event_id: (r["rank"], r.group_rows) for r in ranked} == expected
 
 
