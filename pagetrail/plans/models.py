@@ -114,7 +114,7 @@ QUERIES = {
 }
 
 _STAR = {**STAR_CTES, "joined": DENORMALIZED_SQL}
-_RANK = "row_number() OVER (PARTITION BY {by} ORDER BY md5(concat('{seed}:', CAST(event_id AS VARCHAR))), event_id)"
+_RANK = "row_number() OVER (PARTITION BY {by} ORDER BY left(md5(concat('{seed}:', CAST(event_id AS VARCHAR))), 15), event_id)"
 _COUNTRY_SPLIT = f"""SELECT event_id, client_ip, country, n >= 2 AND rn <= ceil(0.2e0 * n) AS is_test
     FROM (SELECT *, COUNT(*) OVER (PARTITION BY client_ip) AS n, {_RANK.format(by='client_ip', seed=split.COUNTRY_SEED)} AS rn
           FROM joined WHERE client_ip IS NOT NULL AND country IS NOT NULL)"""

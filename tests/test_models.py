@@ -22,7 +22,7 @@ def skewed(spark):
 def test_rank_of_a_hot_group_equals_brute_force(skewed, slice_rows):
     groups = defaultdict(list)
     for row in skewed.collect():
-        groups[row.g].append((hashlib.md5(f"3:{row.event_id}".encode()).hexdigest(), row.event_id))
+        groups[row.g].append((hashlib.md5(f"3:{row.event_id}".encode()).hexdigest()[:15], row.event_id))
     expected = {e: (i, len(v)) for v in groups.values() for i, (_, e) in enumerate(sorted(v), 1)}
     ranked = hash_rank(skewed, "g", "event_id", 3, slice_rows=slice_rows).collect()
     assert {r.event_id: (r["rank"], r.group_rows) for r in ranked} == expected
@@ -30,7 +30,7 @@ def test_rank_of_a_hot_group_equals_brute_force(skewed, slice_rows):
 
 def test_rank_spreads_a_group_over_tasks(skewed):
     plan = hash_rank(skewed, "g", "event_id", 3)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(g#" in plan and "_slice#" in plan
+    assert "hashpartitioning(_slice#" in plan
     row_window = [line for line in plan.splitlines() if "Window" in line and "row_number" in line]
     assert row_window and all("_slice" in line for line in row_window)
 
