@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -16,6 +17,7 @@ BASE_RANK = 0.15
 TOLERANCE = 0.005
 # A page with more distinct targets than this is handled apart, so that its links spread over all tasks.
 HEAVY_SOURCE_TARGETS = 1_000_000
+EDGES_PER_PARTITION = 100_000
 # Ranks of heavy pages are broadcast up to this many rows (16 bytes each).
 HEAVY_BROADCAST_ROWS = 1_000_000
 
@@ -48,7 +50,9 @@ class _Links:
 
     def __init__(self, nodes: DataFrame, edges: DataFrame, heavy_targets: int) -> None:
         spark = edges.sparkSession
-        self._partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # a small graph does not need all partitions
+        wanted = math.ceil(edges.count() / EDGES_PER_PARTITION)
+        self._partitions = max(1, min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
         known = edges.join(nodes.select(F.col("node").alias("dst")), "dst", "left_semi")
         fanout = edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("targets"))
         self._heavy = materialize(fanout.filter(F.col("targets") > heavy_targets).select("node"), "heavy-sources")
