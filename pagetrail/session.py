@@ -55,9 +55,20 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table below the shared folder that nothing reads any more."""
     if not path.startswith(f"{shared_root(spark)}/pagetrail/"):
         raise ValueError(f"{path} is not a scratch table")
+    target, store = _hadoop_path(spark, path)
+    store.delete(target, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and host Spark would use for it."""
+    target, store = _hadoop_path(spark, path)
+    return store.makeQualified(target).toString()
+
+
+def _hadoop_path(spark: SparkSession, path: str):
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(context._jsc.hadoopConfiguration())
 
 
 def materialize(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:

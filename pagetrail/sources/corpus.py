@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrail.functions import text
+from pagetrail.session import qualified
 
 # Up to this many requested files their paths travel to the driver; above it a join selects them.
 _LISTED_PATHS = 10_000
@@ -92,13 +93,16 @@ def require(condition: bool, message: str) -> None:
 def write_corpus(pages: DataFrame, directory: str) -> int:
     """Write (file_id, content) rows as ``<directory>/<file_id>.html``; returns the number of files.
 
-    Each task writes its own rows. A repeated task writes the same bytes under the same names.
+    Each task writes its own rows. A repeated task writes the same bytes under the same names. The folder must be on
+    storage every task reaches under its qualified name.
     """
+    target = qualified(pages.sparkSession, directory).replace("s3a://", "s3://", 1)
+    if target.startswith("file:"):
+        target = "/" + target.removeprefix("file:").lstrip("/")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        target = directory.replace("s3a://", "s3://", 1).replace("file:///", "/", 1).replace("file:/", "/", 1)
         store, root = fs.FileSystem.from_uri(target) if "://" in target else (fs.LocalFileSystem(), target)
         store.create_dir(root, recursive=True)
         for batch in batches:
