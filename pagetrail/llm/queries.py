@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("decontaminate",)
+MODULES = ("decontaminate", "toxicity", "language")
 
 
 def _modules():

@@ -54,8 +54,8 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _codes(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the words in ``data`` and the places where the words start."""
+def _codes(data: np.ndarray, text_starts: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Codes of the words in ``data``, the places where the words start, and codes of the prefixes."""
     inside = _WORD[data]
     before = np.empty_like(inside)
     before[:1] = False
@@ -63,20 +63,29 @@ def _codes(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.nd
     before[text_starts[text_starts < len(data)]] = False
     starts = np.flatnonzero(inside & ~before)
     if not len(starts):
-        return np.zeros(0, np.uint64), starts
+        return np.zeros(0, np.uint64), starts, *(np.zeros(0, np.uint64) for _ in prefixes)
     places = np.flatnonzero(inside)
     first = np.searchsorted(places, starts)
     place_in_word = places - np.repeat(starts, np.diff(np.append(first, len(places))))
     terms = _OF_BYTE[data[places]] * _OF_PLACE[place_in_word % _CYCLE]
-    return mix(np.add.reduceat(terms, first)), starts
+    words = mix(np.add.reduceat(terms, first)), starts
+    if not prefixes:
+        return words
+    summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+    lengths = np.diff(np.append(first, len(places)))
+    cut = (mix(summed[first + np.minimum(n, lengths)] - summed[first] + np.uint64(n)) for n in prefixes)
+    return *words, *(np.where(lengths > n, c, np.uint64(0)) for n, c in zip(prefixes, cut, strict=True))
 
 
-def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the words of all texts in order, and the offsets of each text in them."""
+def word_codes(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Codes of the words of all texts in order, and the offsets of each text in them.
+
+    For each number of bytes in ``prefixes`` an array follows: the code of that prefix of the word, 0 for words not longer.
+    """
     data, offsets = utf8(pc.utf8_lower(texts))
     if len(data) <= 4 * SLICE_BYTES:
-        codes, starts = _codes(data, offsets[:-1])
-        return codes, np.searchsorted(starts, offsets)
+        codes, starts, *cut = _codes(data, offsets[:-1], prefixes)
+        return codes, np.searchsorted(starts, offsets), *cut
     parts, start = [], 0  # one very long text: the computation, not the result, goes by pieces that end between words
     while start < len(data):
         stop = min(len(data), start + SLICE_BYTES)
@@ -84,11 +93,11 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             step = np.flatnonzero(~_WORD[data[stop : stop + SLICE_BYTES]])
             stop = stop + int(step[0]) if len(step) else min(len(data), stop + SLICE_BYTES)
         own = offsets[:-1][(offsets[:-1] >= start) & (offsets[:-1] < stop)] - start
-        codes, starts = _codes(data[start:stop], own)
-        parts.append((codes, starts + start))
+        codes, starts, *cut = _codes(data[start:stop], own, prefixes)
+        parts.append((codes, starts + start, *cut))
         start = stop
-    codes, starts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return codes, np.searchsorted(starts, offsets)
+    codes, starts, *cut = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return codes, np.searchsorted(starts, offsets), *cut
 
 
 def grams(codes: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
