@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("decontaminate", "toxicity", "language")
+MODULES = ("decontaminate", "toxicity", "language", "surrogates", "jaccard", "vectors")
 
 
 def _modules():
