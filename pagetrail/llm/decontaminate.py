@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagetrail.llm.columns import put_back, set_aside
 from pagetrail.llm.textcodes import _OF_PLACE, keep_columns, mix, slices, word_codes
 
 MASKS = ("111111", "11011011", "1101001011", "10110100111")
@@ -193,13 +194,13 @@ def _scan(docs: DataFrame, seeds, item_share: float, stretch_words: int) -> Data
             yield keep_columns(batch, names, {"overlaps": pa.array(rows, kind)})
 
     schema = T.StructType([docs.schema[c] for c in names] + [docs.schema["overlaps"]])
-    return docs.select(*names, "overlaps").mapInArrow(scan, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in names), "overlaps").mapInArrow(scan, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without an accepted overlap, with the columns of ``docs``."""
-    clean = find_overlaps(docs, benchmark, **options).filter(F.size("overlaps") == 0)
-    return clean.select(*(F.col(f"`{c}`") for c in docs.columns)) if "overlaps" not in docs.columns else clean.drop("overlaps")
+    clean = find_overlaps(set_aside(docs, ("overlaps",)), benchmark, **options).filter(F.size("overlaps") == 0)
+    return put_back(clean, docs, ("overlaps",))
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

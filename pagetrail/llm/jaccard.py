@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetrail.llm.columns import put_back, set_aside
 from pagetrail.llm.links import components
 from pagetrail.llm.textcodes import _OF_PLACE, grams, mix, slices, word_codes
 from pagetrail.session import materialize
@@ -266,17 +267,16 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row of each component of linked documents: that of the smallest doc_id (nulls last), of repeated rows any one.
     Null texts and texts without words stay as they are. The columns are those of ``docs``."""
     _, classes = jaccard_join(docs, **options)
-    first = F.col("component_first")
+    first, added = F.col("component_first"), ("_doc", "_null", "_text")
     kept = classes.filter(F.col("first_doc") == first).select(
         first["doc_id"].alias("_doc"), first["null"].alias("_null"), first["text_key"].alias("_text")
     )
-    keyed = docs.withColumns({"_doc": F.col("doc_id"), "_null": F.col("doc_id").isNull(), "_text": F.xxhash64("text")})
+    keyed = set_aside(docs, added)
+    keyed = keyed.withColumns({"_doc": F.col("doc_id"), "_null": F.col("doc_id").isNull(), "_text": F.xxhash64("text")})
     wordless = F.col("text").isNull() | F.col("text").rlike(_WORDLESS)
-    same = (
-        (keyed["_text"] == kept["_text"]) & (keyed["_null"] == kept["_null"]) & keyed["_doc"].eqNullSafe(kept["_doc"])
-    )
-    one = keyed.filter(~wordless).join(kept, same, "left_semi").dropDuplicates(["_text", "_null", "_doc"])
-    return one.unionByName(keyed.filter(wordless)).drop("_doc", "_null", "_text")
+    same = (keyed["_text"] == kept["_text"]) & (keyed["_null"] == kept["_null"]) & keyed["_doc"].eqNullSafe(kept["_doc"])
+    one = keyed.filter(~wordless).join(kept, same, "left_semi").dropDuplicates([*added])
+    return put_back(one.unionByName(keyed.filter(wordless)), docs, added)
 
 
 QUERIES = {"op9_ngram_jaccard_join": op9_ngram_jaccard_join}

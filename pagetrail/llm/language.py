@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagetrail.llm.columns import put_back, set_aside
 from pagetrail.llm.textcodes import SLICE_BYTES, keep_columns, slices
 from pagetrail.session import materialize
 
@@ -229,7 +230,7 @@ def fit(
         chance = F.when(F.col(label) == name, F.lit(min(1.0, per_language / sizes[name]))).otherwise(chance)
         number = F.when(F.col(label) == name, F.lit(i)).otherwise(number)
     whole = float(1 << 40)
-    key = [F.col(c) for c in docs.columns]
+    key = [F.col(f"`{c}`") for c in docs.columns]
 
     def draw(salt):
         return F.pmod(F.xxhash64(F.lit(salt), *key), F.lit(1 << 40)) / whole
@@ -300,7 +301,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType(
         [docs.schema[c] for c in names] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     )
-    return docs.select(*names).mapInArrow(classify, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(classify, schema)
+
+
+def keep_recognised(docs: DataFrame, label: str = "lang", learn_from: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, with the columns of ``docs``. Where no row is labelled, those with letters."""
+    model = fit(docs, label, learn_from)
+    if not model.languages:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    added = ("lang_pred", "score")
+    found = predict(set_aside(docs, added), model).filter(F.col("lang_pred") != UNDETERMINED)
+    return put_back(found, docs, added)
 
 
 def held_out() -> Column:
