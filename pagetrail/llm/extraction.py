@@ -8,7 +8,7 @@ A page is cut into blocks at block-level tags. First pass, each block on its own
 * the others are ambiguous.
 
 Second pass: an ambiguous block inherits the label of its nearest decided neighbours. If the two sides differ, it is content
-next to a long content block or as a heading above content, else boilerplate. In an article without any decided block,
+next to a long content block or as a heading above content, else boilerplate; the ends of a page count as boilerplate. In an article without any decided block,
 ambiguous blocks are content. Blocks inside an article have the article as their neighbourhood.
 
 White space of a block becomes one space, character references are decoded, blocks are joined by line breaks. Null and empty
@@ -211,13 +211,12 @@ def _inherited(i: int, found: list[Block], first: list[bool | None], near: list[
     if found[i].article:
         # within an article only a block between two that are made of links is boilerplate
         return before is None or after is None or bool(first[before] or first[after])
-    if before is None or after is None:
-        return False
-    if first[before] == first[after]:
-        return bool(first[before])
+    above, below = before is not None and bool(first[before]), after is not None and bool(first[after])
+    if above == below:
+        return above
     if found[i].heading:
-        return bool(first[after])
-    content = before if first[before] else after
+        return below
+    content = before if above else after
     return abs(content - i) == 1 and len(found[content].text) > LONG
 
 

@@ -43,6 +43,8 @@ def plan_bands(similarity: float, recall: float, most_hashes: int = MOST_HASHES)
     best = None
     for rows in range(1, most_hashes + 1):
         hit = similarity**rows
+        if hit < 1e-12:
+            break
         bands = 1 if hit >= recall else math.ceil(math.log(1 - recall) / math.log1p(-hit))
         if bands * rows <= most_hashes:
             best = (bands, rows)

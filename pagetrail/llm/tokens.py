@@ -81,7 +81,8 @@ def attribute(ends: np.ndarray, starts: np.ndarray, stops: np.ndarray, rule: str
     if rule == "first":
         return out
     last = np.searchsorted(starts, ends, "left") - 1  # the last one that starts before its end
-    for i in np.flatnonzero((last > first) | (~inside & (last >= first))):  # tokens that cross a boundary
+    over = ends > stops[np.minimum(first, len(stops) - 1)]
+    for i in np.flatnonzero((last > first) | (last == first) & (~inside | over)):  # tokens that cross a boundary
         held = np.arange(first[i], last[i] + 1)
         own = np.minimum(ends[i], stops[held]) - np.maximum(begins[i], starts[held])
         gap = ends[i] - begins[i] - own.sum()

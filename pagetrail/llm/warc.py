@@ -148,6 +148,11 @@ class _Reader:
                 self.skip, data = self.skip - n, data[n:]
             elif self.fields is None:
                 before = len(self.head)
+                if not before:  # a file whose last payload ends like a separator ends with spare line breaks
+                    n = next((i for i, c in enumerate(data) if c not in b"\r\n"), len(data))
+                    data = data[n:]
+                    if n and not len(data):
+                        return
                 self.head += data
                 end = self.head.find(_END, max(before - 3, 0))
                 if end < 0:
