@@ -170,6 +170,12 @@ def _terms(sample: DataFrame, rows: int, toxic: int, min_documents: int, min_rat
     return np.sort(chosen["code"].to_numpy().view(np.uint64))
 
 
+def _drawn(key: Column, rows: int, wanted: int) -> Column:
+    """True for about ``wanted`` of so many rows, chosen by a hash."""
+    whole = 1 << 40
+    return F.pmod(key, F.lit(whole)) / float(whole) < min(1.0, wanted / max(rows, 1))
+
+
 def fit(
     rows: DataFrame,
     label: str = "toxic",
@@ -185,10 +191,7 @@ def fit(
         known = known.filter(learn_from)
     key = F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns))
     known = known.select("text", F.col(label).cast("bigint").alias("label"), key.alias("key"))
-    total = known.count()
-    whole = 1 << 40
-    chance = min(1.0, sample_rows / max(total, 1))
-    sample = materialize(known.filter(F.pmod("key", F.lit(whole)) / float(whole) < chance), "toxicity-sample")
+    sample = materialize(known.filter(_drawn(F.col("key"), known.count(), sample_rows)), "toxicity-sample")
     number, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not number:
         return Model(np.zeros(0, np.uint64), -60.0, np.zeros(_LENGTHS), np.zeros((_LENGTHS, FACTORS)))
@@ -256,7 +259,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(F.col("toxic").isNotNull())
     labels = labels.filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = fit(docs.join(labels, "doc_id").select("text", "toxic", "doc_id"))
+    # the sample is drawn from the labels, so that texts meet a bounded number of rows and are not shuffled
+    sample = materialize(labels.filter(_drawn(F.xxhash64("doc_id"), labels.count(), SAMPLE_ROWS)), "toxicity-labels")
+    model = fit(docs.join(F.broadcast(sample), "doc_id").select("text", "toxic", "doc_id"))
     return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
 
 
