@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetrail.functions import http
 from pagetrail.functions.logs import UNKNOWN, time_of_day
+from pagetrail.session import materialize
 
 DEFAULT_BUCKET = "corpus"
 
@@ -99,9 +100,10 @@ def _page(profile: Profile, bucket: str) -> Column:
 def decide(requests: DataFrame, profile: str, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Requests with ``routed_country``, ``page`` and the ``outcome`` known before the page lookup.
 
-    ``outcome`` is NULL where only the lookup can tell.
+    ``outcome`` is NULL where only the lookup can tell. A missing path is an empty one.
     """
     rules = PROFILES[profile]
+    requests = requests.withColumn("path", F.coalesce("path", F.lit("")))
     name = F.col("path") if rules.keeps_directories else F.substring_index("path", "/", -1)
     empty = F.when(name == "", F.lit(EMPTY_NAME))
     embargo = F.when(http.is_embargoed(F.col("routed_country")), F.lit(FORBIDDEN))
@@ -120,12 +122,13 @@ def route_requests(
 ) -> DataFrame:
     """Requests with ``outcome``, ``status`` and ``body`` (NULL where a page is sent).
 
-    ``pages`` is (page): the names that exist, one row each. Requests decided without a lookup join on keys of their
-    own, which match no page and spread evenly, so they do not gather in the task of the NULL key.
+    ``pages`` is (page): the names that exist; a name may repeat. Requests decided without a lookup join on keys of
+    their own, which match no page and spread evenly, so they do not gather in the task of the NULL key. The names
+    are written once without repeats: the join then reads both sides from plain exchanges and can split a hot page.
     """
     decided = decide(requests, profile, bucket)
     own_key = F.concat(F.lit("#"), F.col("request_id").cast("string"))
-    known = pages.select(F.col("page").alias("_known"))
+    known = materialize(pages.select(F.col("page").alias("_known")).distinct(), "page-names")
     looked_up = decided.withColumn("_key", F.coalesce("page", own_key)).join(
         known, F.col("_key") == F.col("_known"), "left"
     )
@@ -200,8 +203,14 @@ def forbidden_events(requests: DataFrame, profile: str = "v5", pod: str = "", bu
 
 
 def audit_events(routed: DataFrame, profile: str = "v9", pod: str = "") -> DataFrame:
-    """(request_id, event, message, method, path, country, severity): what each generation writes to its log."""
-    outcome, path, page = F.col("outcome"), F.col("path"), F.col("page")
+    """(request_id, event, message, method, path, country, pod, severity): what each generation writes to its log.
+
+    From v4 on, a name is completed (bucket left out, ending added) before the lookup, so lines about missing pages
+    show the completed name; v5 logs the asked-for one. Only v9 names its pod.
+    """
+    outcome, page = F.col("outcome"), F.col("page")
+    completed = (outcome == NOT_FOUND) if profile in ("v4", "v8", "v9") else F.lit(False)
+    path = F.when(completed, page).otherwise(F.col("path"))
     values = {
         "method": F.col("method"),
         "path": path,
@@ -241,6 +250,7 @@ def audit_events(routed: DataFrame, profile: str = "v9", pod: str = "") -> DataF
         "method",
         F.concat(F.lit("/"), path).alias("path"),
         F.when(outcome == FORBIDDEN, F.col("routed_country")).alias("country"),
+        F.lit(pod if profile == "v9" else None).cast("string").alias("pod"),
         severity.alias("severity"),
     )
 

@@ -6,7 +6,6 @@ from functools import partial
 
 from pagetrail import adapters
 from pagetrail.adapters import duckdb, existing_pages, http_requests
-from pagetrail.functions.http import EMBARGOED_COUNTRIES
 from pagetrail.operators import requests as ops
 
 POD = "web-0"
@@ -58,12 +57,13 @@ QUERIES = {
 }
 for _profile in ("v3", "v4", "v8", "v9"):
     QUERIES[f"route_requests_{_profile}"] = partial(route_requests, profile=_profile)
-for _profile in ("v3", "v4"):
+for _profile in ("v3", "v4", "v5", "v8"):
     QUERIES[f"audit_events_{_profile}"] = partial(audit_events, profile=_profile)
-for _profile in ("v3", "v9"):
+for _profile in ("v3", "v4", "v8", "v9"):
     QUERIES[f"forbidden_events_{_profile}"] = partial(forbidden_events, profile=_profile)
 
-_EMBARGO = ", ".join(f"'{name}'" for name in EMBARGOED_COUNTRIES)
+# The embargo list, written out so that a wrong name in the operators shows.
+_EMBARGO = "'North Korea', 'Iran', 'Cuba', 'Myanmar', 'Iraq', 'Libya', 'Sudan', 'Zimbabwe', 'Syria'"
 _PARSED = f"""SELECT request_id, ts, method, path, COALESCE(trim(x_country), '') AS country,
     CASE WHEN ip LIKE '%,%' THEN trim(split_part(ip, ',', 1)) ELSE ip END AS client_ip,
     COALESCE(NULLIF(trim(x_gender), ''), 'Unknown') AS gender,
@@ -101,15 +101,16 @@ def _route(profile: str) -> str:
     return duckdb("SELECT request_id, outcome, status, body FROM routed", "http_requests", routed=_routed(profile))
 
 
-def _audit(profile: str, not_implemented: str, forbidden: str, not_found: str) -> str:
-    levels = "WHEN 'forbidden_country' THEN 'CRITICAL' WHEN 'not_implemented' THEN " + (
-        "'ERROR'" if profile == "v3" else "'WARNING'") + " ELSE 'WARNING' END"
-    kept = "'not_implemented', 'not_found'" + (", 'forbidden_country'" if forbidden else "")
-    return duckdb(f"""SELECT request_id, outcome AS event,
-        CASE outcome WHEN 'not_implemented' THEN {not_implemented} WHEN 'forbidden_country' THEN {forbidden or "''"}
-            ELSE {not_found} END AS message,
-        method, '/' || path AS path, CASE WHEN outcome = 'forbidden_country' THEN country END AS country,
-        CASE outcome {levels} AS severity FROM routed WHERE outcome IN ({kept})""",
+def _audit(profile: str, *cases: tuple[str, str, str]) -> str:
+    """cases: outcome, text of the message, severity. A missing page is shown by its completed name but in v3."""
+    path = "'/' || path" if profile == "v3" else "'/' || CASE WHEN outcome = 'not_found' THEN page ELSE path END"
+    message = " ".join(f"WHEN '{outcome}' THEN {text}" for outcome, text, _ in cases)
+    severity = " ".join(f"WHEN '{outcome}' THEN '{level}'" for outcome, _, level in cases)
+    pod = f"'{POD}'" if profile == "v9" else "CAST(NULL AS VARCHAR)"
+    return duckdb(f"""SELECT request_id, outcome AS event, CASE outcome {message} END AS message, method, {path} AS path,
+        CASE WHEN outcome = 'forbidden_country' THEN country END AS country, {pod} AS pod,
+        CASE outcome {severity} END AS severity
+        FROM routed WHERE outcome IN ({", ".join(f"'{outcome}'" for outcome, _, _ in cases)})""",
         "http_requests", routed=_routed(profile))
 
 
@@ -140,18 +141,32 @@ ORACLE = {
     **{f"route_requests_{profile}": _route(profile) for profile in ("v3", "v4", "v8", "v9")},
     "missing_pages": duckdb("SELECT page, COUNT(*) AS requests FROM routed WHERE outcome = 'not_found' GROUP BY 1",
                             "http_requests", routed=_routed("v5")),
-    "audit_events": _audit("v9", "'501 Not Implemented: method=' || method || ' path=/' || path", _FORBIDDEN_V9,
-                           "'404 Not Found: path=/' || path"),
-    "audit_events_v4": _audit("v4", "'Method ' || method || ' not implemented. Path: /' || path", _FORBIDDEN_V5,
-                              "'File pages/' || page || ' not found'"),
-    "audit_events_v3": _audit("v3", "'Method ' || method || ' not implemented'", "",
-                              "'File pages/' || page || ' not found'"),
+    "audit_events": _audit(
+        "v9",
+        ("not_implemented", "'501 Not Implemented: method=' || method || ' path=/' || path", "WARNING"),
+        ("forbidden_country", _FORBIDDEN_V9, "CRITICAL"),
+        ("not_found", "'404 Not Found: path=/' || page", "WARNING")),
+    **{f"audit_events_{profile}": _audit(
+        profile,
+        ("not_implemented", "'Method ' || method || ' not implemented. Path: /' || path", "WARNING"),
+        ("forbidden_country", _FORBIDDEN_V5, "CRITICAL"),
+        ("not_found", "'File pages/' || page || ' not found'", "WARNING")) for profile in ("v4", "v8")},
+    "audit_events_v3": _audit(
+        "v3",
+        ("not_implemented", "'Method ' || method || ' not implemented'", "ERROR"),
+        ("not_found", "'File pages/' || page || ' not found'", "WARNING")),
+    "audit_events_v5": duckdb("""SELECT request_id, 'request_timing' AS event, 'request_timing' AS message, method,
+            '/' || path AS path, CASE WHEN outcome = 'forbidden_country' THEN country END AS country,
+            CAST(NULL AS VARCHAR) AS pod, 'INFO' AS severity
+        FROM routed WHERE outcome IN ('forbidden_country', 'not_found', 'ok')""", "http_requests", routed=_routed("v5")),
     "build_request_log": duckdb(REQUEST_LOG_SQL, "http_requests", **ROUTED_CTES),
     "build_failed_log": duckdb(FAILED_LOG_SQL, "http_requests", **ROUTED_CTES),
     "forbidden_events": duckdb(_forbidden("v5", _FORBIDDEN_V5), "http_requests", routed=_routed("v5")),
     "forbidden_events_v3": duckdb(
         _forbidden("v3", "'Forbidden: Export to ' || country || ' is prohibited.'"), "http_requests",
         routed=_routed("v3")),
+    **{f"forbidden_events_{profile}": duckdb(_forbidden(profile, _FORBIDDEN_V5), "http_requests", routed=_routed(profile))
+       for profile in ("v4", "v8")},
     "forbidden_events_v9": duckdb(_forbidden("v9", _FORBIDDEN_V9), "http_requests", routed=_routed("v9")),
     "parse_forbidden_posts": duckdb(
         """SELECT request_id, country, path, '[FORBIDDEN ACCESS via HTTP] Country: ' || country || ', Path: ' || path AS line

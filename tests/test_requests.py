@@ -112,7 +112,7 @@ def test_audit_events(spark, pages, rows):
     routed = ops.route_requests(requests(spark, *CASES[:1], *CASES[5:6], *CASES[8:]), pages, "v9")
     assert rows(ops.audit_events(routed, "v9", "w"), "event", "severity", "message") == [
         ("forbidden_country", "CRITICAL", "Forbidden export: country=Iran path=/1 pod=w"),
-        ("not_found", "WARNING", "404 Not Found: path=/9"),
+        ("not_found", "WARNING", "404 Not Found: path=/9.html"),
         ("not_implemented", "WARNING", "501 Not Implemented: method=POST path=/1"),
     ]
     old = ops.route_requests(requests(spark, *CASES[:1]), pages, "v3")
@@ -129,3 +129,24 @@ def test_posts(spark, rows):
         (3, "[FORBIDDEN ACCESS via HTTP] Country: Unknown, Path: /"),
         (4, "[FORBIDDEN ACCESS via HTTP] Country: Unknown, Path: /"),
     ]
+
+
+def test_missing_paths_and_repeated_page_names(spark, pages):
+    twice = pages.unionByName(pages)
+    assert outcomes(spark, twice, "v5", ("GET", None, {}), ("GET", "1", {}), ("GET", None, {"X-country": "Cuba"})) == [EMPTY, OK, EMPTY]
+
+
+@pytest.mark.parametrize(
+    ("profile", "message", "path"),
+    [
+        ("v3", "File pages/9.html not found", "/corpus/9"),
+        ("v4", "File pages/9.html not found", "/9.html"),
+        ("v5", "request_timing", "/corpus/9"),
+        ("v8", "File pages/9.html not found", "/9.html"),
+        ("v9", "404 Not Found: path=/9.html", "/9.html"),
+    ],
+)
+def test_missing_pages_are_reported_by_their_completed_name(spark, pages, profile, message, path):
+    routed = ops.route_requests(requests(spark, ("GET", "corpus/9", {})), pages, profile)
+    found = ops.audit_events(routed, profile, "pod-1").first()
+    assert (found.message, found.path, found.pod) == (message, path, "pod-1" if profile == "v9" else None)
