@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pagetrail.adapters import duckdb, request_logs
-from pagetrail.functions.logs import AGE_GROUPS, OLDEST_GROUP, UNKNOWN
 from pagetrail.operators import stats
 from pagetrail.plans.requests import FAILED_LOG_SQL, ROUTED_CTES, build_failed_log
 
@@ -44,11 +43,8 @@ QUERIES = {
     )
 }
 
-AGE_GROUP_SQL = (
-    f"CASE WHEN age IS NULL THEN '{UNKNOWN}' "
-    + " ".join(f"WHEN age < {bound} THEN '{label}'" for bound, label in AGE_GROUPS)
-    + f" ELSE '{OLDEST_GROUP}' END"
-)
+# The age groups of the report.
+AGE_GROUP_SQL = "CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 18 THEN '0-17' WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44' WHEN age < 55 THEN '45-54' ELSE '55+' END"
 _COMPARED = """SELECT r.n - f.n AS successful, f.n AS unsuccessful
     FROM (SELECT COUNT(*) AS n FROM request_logs) r, (SELECT COUNT(*) AS n FROM failed) f"""
 _BANNED = "SELECT COUNT(*) AS banned_requests FROM request_logs WHERE is_banned"
@@ -59,9 +55,10 @@ _INCOME = "SELECT income, COUNT(*) AS count FROM request_logs GROUP BY 1 ORDER B
 _FAILED = {**ROUTED_CTES, "failed": FAILED_LOG_SQL}
 
 
-def _line(name: str, source: str, *columns: str) -> str:
+def _line(position: int, name: str, source: str, order: str, *columns: str) -> str:
     fields = ", ".join(f"'{column}', {column}" for column in columns)
-    return f"SELECT '{name}' AS metric, CAST(json_object({fields}) AS VARCHAR) AS \"row\" FROM ({source})"
+    rows = f"string_agg(CAST(json_object({fields}) AS VARCHAR), ',' ORDER BY {order})"
+    return f"SELECT {position} AS position, '{name}' AS metric, '[' || {rows} || ']' AS \"rows\" FROM ({source})"
 
 
 ORACLE = {
@@ -73,11 +70,11 @@ ORACLE = {
     "stats_top_income_group": duckdb(_INCOME, "request_logs"),
     "stats_report": duckdb(
         " UNION ALL ".join([
-            _line("success_vs_failure", _COMPARED, "successful", "unsuccessful"),
-            _line("banned_requests", _BANNED, "banned_requests"),
-            _line("male_vs_female", _GENDER, "gender", "count"),
-            _line("top_5_countries", _COUNTRY, "country", "count"),
-            _line("top_age_group", _AGE, "age_group", "count"),
-            _line("top_income_group", _INCOME, "income", "count"),
+            _line(1, "success_vs_failure", _COMPARED, "successful", "successful", "unsuccessful"),
+            _line(2, "banned_requests", _BANNED, "banned_requests", "banned_requests"),
+            _line(3, "male_vs_female", _GENDER, "count DESC, gender", "gender", "count"),
+            _line(4, "top_5_countries", _COUNTRY, "count DESC, country", "country", "count"),
+            _line(5, "top_age_group", _AGE, "count DESC", "age_group", "count"),
+            _line(6, "top_income_group", _INCOME, "count DESC", "income", "count"),
         ]), "request_logs", "http_requests", **_FAILED),
 }

@@ -99,8 +99,18 @@ def test_stats(spark, logs, failed, rows):
     assert [tuple(r) for r in stats.top_countries(logs, 2).collect()] == [("A", 3), ("B", 2)]
     assert rows(stats.top_age_group(logs)) == [("Unknown", 2)]
     assert rows(stats.top_income_group(logs)) == [("high", 4)]
-    report = rows(stats.stats_report(logs, failed))
-    assert ("success_vs_failure", '{"successful":6,"unsuccessful":1}') in report
+    report = [tuple(r) for r in stats.stats_report(logs, failed).orderBy("position").collect()]
+    assert report[0] == (1, "success_vs_failure", '[{"successful":6,"unsuccessful":1}]')
+    assert report[1] == (2, "banned_requests", '[{"banned_requests":1}]')
+    assert report[2][2] == '[{"gender":"Male","count":5},{"gender":"","count":1},{"gender":"Female","count":1}]'
+    assert [r[1] for r in report[3:]] == ["top_5_countries", "top_age_group", "top_income_group"]
+    plan = stats.stats_report(logs, failed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("time_of_day") <= 1 and plan.count("Generate inline") == 1
+
+
+def test_stats_of_empty_logs(logs, failed):
+    report = stats.stats_report(logs.limit(0), failed.limit(0)).orderBy("position").collect()
+    assert [r.rows for r in report] == ['[{"successful":0,"unsuccessful":0}]', '[{"banned_requests":0}]', "[]", "[]", "[]", "[]"]
 
 
 def test_age_group_bounds(spark):
