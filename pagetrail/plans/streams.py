@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pagetrail import adapters
 from pagetrail.adapters import duckdb, existing_pages, table
 from pagetrail.operators.probes import zone_timeline
-from pagetrail.plans.probes import TIMELINE_SQL
-from pagetrail.plans.requests import CHANNEL_SQL, FAILED_LOG_SQL, REQUEST_LOG_SQL, ROUTED_CTES
+from pagetrail.operators.requests import forbidden_events
+from pagetrail.plans.probes import WALL_CLOCK
+from pagetrail.plans.requests import (
+    _FORBIDDEN_V5, CHANNEL_SQL, FAILED_LOG_SQL, REQUEST_LOG_SQL, ROUTED_CTES, _forbidden, _routed,
+)
 from pagetrail.plans.stats import AGE_GROUP_SQL
 from pagetrail.session import scratch_path
 from pagetrail.streaming import forbidden, logs, runs, stats
@@ -43,15 +48,27 @@ def stats_stream(spark, sf_dir):
 
 
 def zone_timeline_stream(spark, sf_dir):
-    checkpoint = scratch_path(spark, "timeline-checkpoint")
-    probes = adapters.as_probe_results(_event_stream(spark, sf_dir))
-    runs.advance_state(zone_timeline(probes), checkpoint)
-    return stats.current_windows(spark, checkpoint)
+    """Windows that are over: their end lies at least a minute before the last answered probe."""
+    probes = adapters.as_probe_results(_event_stream(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp"))
+    closed = runs.appended(zone_timeline(probes, watermark="1 minute"), "timeline")
+    return closed.withColumn("window_start", F.col("window_start").cast(WALL_CLOCK))
+
+
+def redelivery_stream(spark, sf_dir):
+    """Messages of refused requests, each delivered twice, kept once."""
+    requests = adapters.as_http_requests(_event_stream(spark, sf_dir))
+    moment = F.col("ts").cast("timestamp").alias("ts")
+    refused = forbidden_events(requests).select("request_id", moment, F.encode("message", "UTF-8").alias("value"))
+    delivered = refused.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
+    messages = forbidden.received_messages(delivered)
+    once = runs.appended(forbidden.drop_redelivered(messages, "request_id", "ts", "1 minute"), "messages")
+    return once.withColumn("ts", F.col("ts").cast(WALL_CLOCK))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (forbidden_stream, request_log_stream, failed_log_stream, stats_stream, zone_timeline_stream)
+    for f in (forbidden_stream, request_log_stream, failed_log_stream, stats_stream, zone_timeline_stream,
+              redelivery_stream)
 }
 
 
@@ -68,5 +85,13 @@ ORACLE = {
             _count("gender", "gender"), _count("country", "country"), _count("age_group", AGE_GROUP_SQL),
             _count("income", "income"), _count("is_banned", "CAST(is_banned AS VARCHAR)"),
         ]), "request_logs"),
-    "zone_timeline_stream": TIMELINE_SQL,
+    "zone_timeline_stream": duckdb(
+        """SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, zone, COUNT(*) AS requests,
+           COUNT(*) FILTER (status < 400) AS successes FROM probe_results WHERE status IS NOT NULL GROUP BY 1, 2
+           HAVING time_bucket(INTERVAL '10 seconds', min(ts)) + INTERVAL '10 seconds'
+                  <= (SELECT max(ts) - INTERVAL '1 minute' FROM probe_results WHERE status IS NOT NULL)""",
+        "probe_results"),
+    "redelivery_stream": duckdb(
+        f"SELECT request_id, ts, message AS value FROM ({_forbidden('v5', _FORBIDDEN_V5)})", "http_requests",
+        routed=_routed("v5")),
 }
