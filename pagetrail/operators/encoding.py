@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetrail.operators.split import FOLDS
 from pagetrail.session import materialize
 
-# A label with more classes than this is refused: each class becomes columns of the encoded frame.
-MAX_CLASSES = 200
-# A feature with more values than this is refused as an ordinal: the fitted model lists them all.
-MAX_ORDINALS = 1_000_000
 FULL = -1
+# Rows of a part, as monotonically_increasing_id numbers them.
+_PART_BITS = 33
 
 
 def classes_of(train: DataFrame, label: str) -> list[str]:
-    found = [row[0] for row in train.select(label).distinct().orderBy(label).limit(MAX_CLASSES + 1).collect()]
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return found
+    """The classes in order; each becomes a column per encoded feature, so a label should have few."""
+    return [row[0] for row in train.select(label).distinct().orderBy(label).collect()]
 
 
 def _class_counts(train: DataFrame, keys: list[str], label: str, classes: list[str]) -> DataFrame:
@@ -114,25 +109,30 @@ def long_encoding(encoding: DataFrame, feature: str, classes: list[str]) -> Data
     return encoding.select(F.lit(feature).alias("feature"), "category", "fold", F.inline(cells))
 
 
-def fit_ordinals(train: DataFrame, features: list[str]) -> StringIndexerModel:
-    """Alphabetical positions of the train values. The model holds all values, so their number is checked first."""
-    sizes = train.agg(*[F.count_distinct(name).alias(name) for name in features]).first().asDict()
-    for name, size in sizes.items():
-        if size > MAX_ORDINALS:
-            raise ValueError(f"{name} has {size} values; at most {MAX_ORDINALS} can be encoded as ordinals")
-    indexer = StringIndexer(
-        inputCols=features,
-        outputCols=[f"{name}_index" for name in features],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    return indexer.fit(train)
-
+def fit_ordinals(train: DataFrame, features: list[str]) -> dict[str, DataFrame]:
+    """Per feature (value, place): alphabetical positions of the train values, from 0.
 
-def apply_ordinals(model: StringIndexerModel, rows: DataFrame, features: list[str]) -> DataFrame:
+    Values are sorted over all tasks, and the sizes of the sorted parts give each part its first position.
+    """
+    tables = {}
+    for name in features:
+        values = train.filter(F.col(name).isNotNull()).select(F.col(name).alias("value")).distinct()
+        ordered = values.repartitionByRange("value").sortWithinPartitions("value")
+        ordered = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordinals")
+        part = F.shiftright("_at", _PART_BITS)
+        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per sorted part
+        starts = ordered.groupBy(part.alias("_part")).count()
+        starts = starts.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+        place = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+        placed = ordered.withColumn("_part", part).join(F.broadcast(starts), "_part")
+        tables[name] = materialize(placed.select("value", place.cast("double").alias("place")), "ordinals")
+    return tables
+
+
+def apply_ordinals(tables: dict[str, DataFrame], rows: DataFrame, features: list[str]) -> DataFrame:
     """``rows`` with ``<feature>_index``: alphabetical position among the train values, -1 if not among them."""
-    indexed = model.transform(rows)
-    for name, known in zip(features, model.labelsArray, strict=True):
-        place = F.col(f"{name}_index")
-        indexed = indexed.withColumn(f"{name}_index", F.when(place < len(known), place).otherwise(F.lit(-1.0)))
-    return indexed
+    for name in features:
+        known = tables[name].select(F.col("value").alias("_value"), F.col("place").alias("_place"))
+        rows = rows.join(known, rows[name] == known["_value"], "left")
+        rows = rows.withColumn(f"{name}_index", F.coalesce("_place", F.lit(-1.0))).drop("_value", "_place")
+    return rows

@@ -24,10 +24,12 @@ HEAVY_BROADCAST_ROWS = 1_000_000
 
 @dataclass
 class PageRankResult:
-    """``ranks`` is (node, pr); ``changes`` the L1 change of each iteration run."""
+    """``ranks`` is (node, pr); ``changes`` the L1 change of each iteration run; ``converged`` tells whether the last one
+    was below the tolerance."""
 
     ranks: DataFrame
     changes: list[float] = field(default_factory=list)
+    converged: bool = True
 
     @property
     def iterations(self) -> int:
@@ -50,9 +52,8 @@ class _Links:
 
     def __init__(self, nodes: DataFrame, edges: DataFrame, heavy_targets: int) -> None:
         spark = edges.sparkSession
-        # a small graph does not need all partitions
-        wanted = math.ceil(edges.count() / EDGES_PER_PARTITION)
-        self._partitions = max(1, min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        # as many partitions as the number of edges asks for, whatever the session's default
+        self._partitions = max(1, math.ceil(edges.count() / EDGES_PER_PARTITION))
         known = edges.join(nodes.select(F.col("node").alias("dst")), "dst", "left_semi")
         fanout = edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("targets"))
         self._heavy = materialize(fanout.filter(F.col("targets") > heavy_targets).select("node"), "heavy-sources")
@@ -96,7 +97,6 @@ def page_rank(
     nodes: DataFrame,
     edges: DataFrame,
     tolerance: float = TOLERANCE,
-    max_iterations: int = 1000,
     fixed_iterations: int | None = None,
     heavy_targets: int = HEAVY_SOURCE_TARGETS,
 ) -> PageRankResult:
@@ -104,8 +104,8 @@ def page_rank(
 
     A rank starts at 1/n and becomes 0.15/n + 0.85 * sum(rank(src) * mult / out(src)), where out(src) counts every
     link, also those to unknown targets; pages without links pass nothing on. The loop ends when the L1 change falls
-    below ``tolerance`` and returns the ranks *before* that last step. With ``fixed_iterations`` it runs that many
-    steps and returns the last.
+    below ``tolerance`` and returns the ranks *before* that last step; it always ends, as a step shrinks the change by
+    the damping factor. With ``fixed_iterations`` it runs that many steps and returns the last.
 
     Each step's ranks are written to the shared folder, so the plan stays one step long, and the ranks before them are
     removed. The driver sees one number per step.
@@ -122,7 +122,7 @@ def page_rank(
     state = materialize(out_degree(nodes, edges).withColumn("pr", F.lit(1.0 / n)), "ranks", state_path)
     changes: list[float] = []
     try:
-        for _ in range(fixed_iterations if fixed_iterations is not None else max_iterations):
+        while fixed_iterations is None or len(changes) < fixed_iterations:
             gains = links.contributions(state)
             new_rank = F.lit(BASE_RANK / n) + F.lit(DAMPING) * F.coalesce(F.col("gain"), F.lit(0.0))
             step = state.join(gains, "node", "left").select(
@@ -138,7 +138,7 @@ def page_rank(
             state, state_path = written.drop("moved"), written_path
     finally:
         links.release()
-    return PageRankResult(state.select("node", "pr"), changes)
+    return PageRankResult(state.select("node", "pr"), changes, bool(changes) and changes[-1] < tolerance)
 
 
 def top_ranked(ranks: DataFrame, n: int = 5) -> DataFrame:

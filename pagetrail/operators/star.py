@@ -116,13 +116,17 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 def merge_dimension(existing: DataFrame, incoming_keys: DataFrame, id_name: str) -> DataFrame:
     """Insert-ignore: ``existing`` plus a row for each incoming key not in it yet. NULLs count as equal."""
     keys = [name for name in existing.columns if name != id_name]
-    fresh = incoming_keys.select(*keys).distinct()
+    # both sides are read several times below
+    existing = materialize(existing, "dimension")
+    fresh = materialize(incoming_keys.select(*keys).distinct(), "incoming-keys")
     unseen = fresh.join(existing, same_keys(fresh, existing, keys), "left_anti")
     return existing.unionByName(with_ids(unseen, keys, id_name, existing))
 
 
 def upsert_ip_addresses(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Upsert: (ip_id, client_ip, country_id) with ``incoming`` (client_ip, country_id) replacing or adding countries."""
+    # both sides are read several times below
+    existing, incoming = materialize(existing, "dimension"), materialize(incoming, "incoming")
     updated = existing.join(incoming.withColumnRenamed("country_id", "_new"), "client_ip", "left").select(
         "ip_id", "client_ip", F.coalesce("_new", "country_id").alias("country_id")
     )
