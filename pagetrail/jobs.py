@@ -11,7 +11,7 @@ from pagetrail.operators import country, graph, income, pages, probes, split, st
 from pagetrail.operators.pagerank import page_rank, top_ranked
 from pagetrail.operators.requests import build_failed_log, build_request_log, forbidden_events, route_requests
 from pagetrail.operators.star import build_star, denormalize, ip_conflicts, row_counts
-from pagetrail.session import build_session, materialize
+from pagetrail.session import build_session, materialize, scratch_scope
 from pagetrail.sources import corpus, tables
 from pagetrail.sources.probes import markers, parse_probe_log, probe_scan
 from pagetrail.sources.sinks import append_log, write_csv, write_lines
@@ -29,22 +29,24 @@ def corpus_report(
 ) -> None:
     """Top in-links, out-links and bigrams of a folder or pattern of HTML files, one text folder each.
 
-    ``source`` may also be a table written by ``compact_corpus``.
+    ``source`` may also be a table written by ``compact_corpus``. Options and summary are the same for both.
     """
     if corpus.is_table(spark, source):
-        lists = pages.top_lists(spark.read.parquet(source))
-        _write_top_lists(materialize(pages.format_top_links(lists), "top-lists"), output)
-        return
-    found = corpus.file_totals(spark, source)
-    corpus.require(found["files"] > 0, f"no HTML files under {source}")
-    if max_files is not None and max_files > 0:
-        scanned = corpus.corpus_first_n(spark, source, max_files)
-        used = min(max_files, found["files"])
+        table = spark.read.parquet(source)
+        found = table.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first().asDict()
+        corpus.require(found["files"] > 0, f"no HTML files under {source}")
+        scanned = corpus.table_first_n(table, max_files, on_bad_utf8)
     else:
-        scanned = corpus.corpus_scan(spark, source, on_bad_utf8)
-        used = found["files"]
+        found = corpus.file_totals(spark, source)
+        corpus.require(found["files"] > 0, f"no HTML files under {source}")
+        scanned = corpus.corpus_first_n(spark, source, max_files, on_bad_utf8)
+    used = min(max_files, found["files"]) if max_files is not None and max_files > 0 else found["files"]
+    scanned = materialize(scanned.select("path", "file_id", "content"), "pages")
+    read = scanned.count()
     _write_top_lists(materialize(pages.format_top_links(pages.top_lists(scanned)), "top-lists"), output)
-    summary = [f"Input: {source}", f"Files processed: {used}", f"Bytes found: {found['bytes']}"]
+    summary = [f"Input: {source}", f"Files processed: {read}", f"Bytes found: {found['bytes']}"]
+    if read < used:
+        summary.append(f"Files skipped: {used - read}")
     if used < found["files"]:
         summary.append(f"(Subset of {found['files']} files.)")
     write_lines(_lines(spark, summary), f"{output}/run")
@@ -55,9 +57,9 @@ def _write_top_lists(report: DataFrame, output: str) -> None:
         write_lines(report.filter(F.col("kind") == kind).orderBy("position"), f"{output}/{name}")
 
 
-def compact_corpus(spark: SparkSession, source: str, output: str, on_bad_utf8: str = "drop") -> None:
-    """HTML files to one parquet table (path, file_id, content), so that later jobs list and open few large files."""
-    corpus.corpus_scan(spark, source, on_bad_utf8).write.mode("overwrite").parquet(output)
+def compact_corpus(spark: SparkSession, source: str, output: str) -> None:
+    """HTML files to one parquet table, so that later jobs list and open few large files."""
+    corpus.compacted(spark, source).write.mode("overwrite").parquet(output)
 
 
 def page_rank_report(spark: SparkSession, source: str, output: str) -> None:
@@ -89,11 +91,11 @@ def stream_forbidden(requests: DataFrame, output: str, profile: str = "v5") -> N
 
 
 def stats_lines(spark: SparkSession, logs_path: str, output: str) -> None:
-    """The usage report, one ``name: row`` line per result row."""
+    """The usage report, one ``name: rows`` line per result."""
     logs = spark.read.parquet(f"{logs_path}/request_logs")
     failed = spark.read.parquet(f"{logs_path}/failed_request_logs")
     report = stats.stats_report(logs, failed)
-    report.select(F.concat_ws(": ", "metric", "row").alias("line")).write.mode("overwrite").text(output)
+    write_lines(report.orderBy("position").select(F.concat_ws(": ", "metric", "rows").alias("line")), output)
 
 
 def migrate(spark: SparkSession, logs_path: str, output: str, previous: str | None = None) -> None:
@@ -155,9 +157,13 @@ def _parser() -> argparse.ArgumentParser:
             added.add_argument(argument, required=True)
         return added
 
-    job("corpus-report", "--pages", "--output").add_argument("--max-files", type=int)
+    report = job("corpus-report", "--pages", "--output")
+    report.add_argument("--max-files", type=int)
+    report.add_argument("--on-bad-utf8", choices=("drop", "skip"), default="drop")
     job("compact-corpus", "--pages", "--output")
     job("page-rank", "--pages", "--output")
+    job("process-requests", "--requests", "--page-names", "--output").add_argument("--profile", default="v5")
+    job("stream-forbidden", "--requests", "--output").add_argument("--profile", default="v5")
     job("stats", "--logs", "--output")
     job("migrate", "--logs", "--output").add_argument("--previous")
     training = job("train", "--star", "--output")
@@ -170,12 +176,23 @@ def _parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
     spark = build_session(f"pagetrail-{options.job}")
+    with scratch_scope(spark):
+        _run(spark, options)
+
+
+def _run(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.job == "corpus-report":
-        corpus_report(spark, options.pages, options.output, options.max_files)
+        corpus_report(spark, options.pages, options.output, options.max_files, options.on_bad_utf8)
     elif options.job == "compact-corpus":
         compact_corpus(spark, options.pages, options.output)
     elif options.job == "page-rank":
         page_rank_report(spark, options.pages, options.output)
+    elif options.job == "process-requests":
+        requests, names = spark.read.parquet(options.requests), spark.read.parquet(options.page_names)
+        process_requests(spark, requests, names, options.output, options.profile)
+    elif options.job == "stream-forbidden":
+        schema = spark.read.parquet(options.requests).schema
+        stream_forbidden(runs.read_arrivals(spark, options.requests, schema), options.output, options.profile)
     elif options.job == "stats":
         stats_lines(spark, options.logs, options.output)
     elif options.job == "migrate":

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
 def build_session(app_name: str = "pagetrail", master: str | None = None, **conf: object) -> SparkSession:
@@ -31,24 +32,29 @@ def build_session(app_name: str = "pagetrail", master: str | None = None, **conf
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    A local session without the setting (unit tests) gets a temporary folder; a cluster must name one.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="pagetrail-")
-    return _LOCAL_ROOTS[context.applicationId]
+    """The folder every executor can reach: what the cluster names in ``spark.checkpoint.dir``, else a folder of the
+    session's warehouse, which has to be shared as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A path nobody has used yet, below the shared folder."""
-    return f"{shared_root(spark)}/pagetrail/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/pagetrail/{purpose}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what was written to scratch paths inside it. Results must be written elsewhere by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_scratch(spark, path)
 
 
 def remove_scratch(spark: SparkSession, path: str) -> None:

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from pagetrail.functions import text
 from pagetrail.session import qualified
 
-# Up to this many requested files their paths travel to the driver; above it a join selects them.
-_LISTED_PATHS = 10_000
-
 
 def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return (
@@ -30,9 +27,11 @@ def corpus_scan(spark: SparkSession, paths: str | list[str], on_bad_utf8: str =
 
     ``on_bad_utf8="drop"`` removes undecodable bytes; ``"skip"`` leaves out files that have any.
     """
-    return _decode(_files(spark, paths), on_bad_utf8).select(
-        "path", text.file_id(F.col("path")).alias("file_id"), "content"
-    )
+    return _scanned(_files(spark, paths), on_bad_utf8)
+
+
+def _scanned(files: DataFrame, on_bad_utf8: str) -> DataFrame:
+    return _decode(files, on_bad_utf8).select("path", text.file_id(F.col("path")).alias("file_id"), "content")
 
 
 def corpus_scan_numeric(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -50,19 +49,35 @@ def _decode(files: DataFrame, on_bad_utf8: str) -> DataFrame:
     raise ValueError(f"on_bad_utf8 must be 'drop' or 'skip', not {on_bad_utf8!r}")
 
 
-def corpus_first_n(spark: SparkSession, paths: str | list[str], n: int | None) -> DataFrame:
+def corpus_first_n(spark: SparkSession, paths: str | list[str], n: int | None, on_bad_utf8: str = "drop") -> DataFrame:
     """The first ``n`` files by path; all of them if ``n`` is None or not positive.
 
-    Only paths are read to choose the files, so the others' content is never opened.
+    The listing gives the last of the wanted paths; files behind it are left out before any file is opened.
     """
     if n is None or n <= 0:
-        return corpus_scan(spark, paths)
-    first = _files(spark, paths).select("path").orderBy("path").limit(n)
-    if n > _LISTED_PATHS:
-        return corpus_scan(spark, paths).join(first, "path", "left_semi")
-    listed = [row["path"] for row in first.collect()]
-    require(bool(listed), f"no HTML files under {paths}")
-    return corpus_scan(spark, listed)
+        return corpus_scan(spark, paths, on_bad_utf8)
+    location = F.col("_metadata.file_path")
+    last = _files(spark, paths).select(location.alias("at")).orderBy("at").limit(n).agg(F.max("at")).first()[0]
+    require(last is not None, f"no HTML files under {paths}")
+    return _scanned(_files(spark, paths).filter(location <= last), on_bad_utf8)
+
+
+def compacted(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, file_id, content, bytes, damaged) of HTML files, undecodable bytes removed where ``damaged``."""
+    files = _files(spark, paths).withColumn("damaged", ~F.is_valid_utf8(F.col("content").cast("string")))
+    return _decode(files, "drop").select(
+        "path", text.file_id(F.col("path")).alias("file_id"), "content", F.col("length").alias("bytes"), "damaged"
+    )
+
+
+def table_first_n(pages: DataFrame, n: int | None, on_bad_utf8: str = "drop") -> DataFrame:
+    """As ``corpus_first_n`` for a table written from ``compacted``."""
+    if n is not None and n > 0:
+        last = pages.select("path").orderBy("path").limit(n).agg(F.max("path")).first()[0]
+        pages = pages.filter(F.col("path") <= last)
+    if on_bad_utf8 not in ("drop", "skip"):
+        raise ValueError(f"on_bad_utf8 must be 'drop' or 'skip', not {on_bad_utf8!r}")
+    return pages.filter(~F.col("damaged")) if on_bad_utf8 == "skip" else pages
 
 
 def is_table(spark: SparkSession, path: str) -> bool:

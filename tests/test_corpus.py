@@ -31,12 +31,19 @@ def test_numeric_scan(spark, folder, rows):
     assert rows(corpus.corpus_scan_numeric(spark, folder), "file_id") == [(1,), (10,)]
 
 
-def test_first_n_by_path(spark, folder, rows, monkeypatch):
+def test_first_n_by_path(spark, folder, rows, tmp_path):
     first = [("1",), ("10",)]
     assert rows(corpus.corpus_first_n(spark, folder, 2), "file_id") == first
-    monkeypatch.setattr(corpus, "_LISTED_PATHS", 1)
-    assert rows(corpus.corpus_first_n(spark, folder, 2), "file_id") == first
-    assert corpus.corpus_first_n(spark, folder, 0).count() == 4
+    assert [corpus.corpus_first_n(spark, folder, n).count() for n in (0, None, 1, 4, 20_000)] == [4, 4, 1, 4, 4]
+    jobs.compact_corpus(spark, folder, f"{tmp_path}/table")
+    table = spark.read.parquet(f"{tmp_path}/table")
+    assert rows(corpus.table_first_n(table, 2), "file_id") == first
+    assert [corpus.table_first_n(table, n).count() for n in (0, None, 1, 20_000)] == [4, 4, 1, 4]
+    assert corpus.table_first_n(table, None, "skip").count() == 3
+    (tmp_path / "none").mkdir()
+    for n in (2, 20_000):
+        with pytest.raises(ValueError):
+            corpus.corpus_first_n(spark, f"{tmp_path}/none", n)
 
 
 def test_listing_reads_no_content(spark, folder):
