@@ -43,19 +43,28 @@ def zone_timeline(probes: DataFrame, width: str = "10 seconds", watermark: str |
 
 
 def with_phase(probes: DataFrame, markers: DataFrame) -> DataFrame:
-    """Probes with ``phase``: before the stop marker, down until the start marker, restored after it.
+    """Probes with ``phase``: before the first stop marker, down from a stop marker to the next start marker, restored
+    from there to the next stop marker. Without a stop marker everything is before; other markers do not count.
 
-    The two moments are scalar subqueries of ``markers`` (marker, ts), so probes are labelled in place, unshuffled.
+    The markers, one per event of an experiment, become one ordered list, and the number of them up to a probe gives
+    its interval, so probes are labelled in place, unshuffled.
     """
-    def moment(name: str):
-        return markers.filter(F.col("marker") == name).agg(F.min("ts")).scalar()
-
-    phase = (
-        F.when(F.col("ts") < moment("MARKER_T0_STOP"), "before")
-        .when(F.col("ts") < moment("MARKER_T0_START"), "down")
-        .otherwise("restored")
-    )
-    return probes.withColumn("phase", phase)
+    moment = F.col("ts").cast(probes.schema["ts"].dataType)
+    events = markers.filter(F.col("marker").isin("MARKER_T0_STOP", "MARKER_T0_START") & F.col("ts").isNotNull())
+    # a start at the moment of a stop comes after it
+    event = F.struct(moment.alias("ts"), (F.col("marker") == "MARKER_T0_START").alias("starts"))
+    ordered = events.agg(F.array_sort(F.collect_list(event)).alias("events"))
+    moments = ordered.select(F.transform("events", lambda x: x["ts"]).alias("moments"))
+
+    def after(x, i):
+        stopped = F.exists(F.slice("events", F.lit(1), i + 1), lambda y: ~y["starts"])
+        return F.when(~stopped, "before").when(x["starts"], "restored").otherwise("down")
+
+    phases = ordered.select(F.concat(F.array(F.lit("before")), F.transform("events", after)).alias("phases"))
+    # a marker at the moment of a probe is passed
+    just_after = F.col("ts") + F.expr("INTERVAL 1 MICROSECOND")
+    passed = F.array_position(F.sort_array(F.array_append(moments.scalar(), just_after)), just_after)
+    return probes.withColumn("phase", F.element_at(phases.scalar(), passed.cast("int")))
 
 
 def failover_phases(probes: DataFrame, markers: DataFrame) -> DataFrame:

@@ -23,14 +23,18 @@ def probe_scan(spark, sf_dir):
     return sources.probe_scan(spark, folder).withColumn("ts", F.col("ts").cast(WALL_CLOCK))
 
 
-def _parsed_log(spark, sf_dir):
+def _log_lines(spark, sf_dir):
     folder = scratch_path(spark, "probe-log")
     adapters.probe_log_lines(spark, sf_dir).write.text(folder)
-    return sources.parse_probe_log(spark.read.text(folder)).withColumn("ts", F.col("ts").cast(WALL_CLOCK))
+    return spark.read.text(folder)
+
+
+def _parsed(lines):
+    return sources.parse_probe_log(lines).withColumn("ts", F.col("ts").cast(WALL_CLOCK))
 
 
 def parse_probe_log(spark, sf_dir):
-    return _parsed_log(spark, sf_dir)
+    return _parsed(_log_lines(spark, sf_dir))
 
 
 def probe_summary(spark, sf_dir):
@@ -51,8 +55,9 @@ def zone_timeline(spark, sf_dir):
 
 def failover_phases(spark, sf_dir):
     """Phases of the printed log, whose markers are among its lines."""
-    parsed = _parsed_log(spark, sf_dir)
-    return ops.failover_phases(parsed.filter("kind = 'probe'"), sources.markers(parsed))
+    lines = _log_lines(spark, sf_dir)
+    marked = sources.markers_of_log(lines).withColumn("ts", F.col("ts").cast(WALL_CLOCK))
+    return ops.failover_phases(_parsed(lines).filter("kind = 'probe'"), marked)
 
 
 def failover_markers_join(spark, sf_dir):

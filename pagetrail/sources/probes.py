@@ -59,5 +59,10 @@ def parse_probe_log(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def markers_of_log(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(marker, ts) of a printed log; only its few marker lines are parsed."""
+    return markers(parse_probe_log(lines.filter(F.col(column).startswith("MARKER_")), column))
+
+
 def markers(parsed: DataFrame) -> DataFrame:
     return parsed.filter("kind = 'marker'").select("marker", "ts")

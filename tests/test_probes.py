@@ -45,6 +45,25 @@ def test_phases(parsed, rows):
     assert "Join" not in plan
 
 
+@pytest.mark.parametrize(
+    ("events", "expected"),
+    [
+        ([], "bbbbbbbb"),
+        ([(2, "START")], "bbbbbbbb"),
+        ([(2, "STOP")], "bbdddddd"),
+        ([(2, "STOP"), (4, "START")], "bbddrrrr"),
+        ([(1, "STOP"), (3, "START"), (5, "STOP"), (6, "START")], "bddrrdrr"),
+        ([(1, "STOP"), (2, "STOP"), (4, "START")], "bdddrrrr"),
+    ],
+)
+def test_phases_of_any_number_of_outages(spark, events, expected):
+    start = datetime(2024, 1, 1)
+    probes = spark.createDataFrame([(i, start + timedelta(seconds=i)) for i in range(8)], "request_id int, ts timestamp")
+    marks = [(f"MARKER_T0_{kind}", start + timedelta(seconds=i)) for i, kind in events] + [("EXPERIMENT_START", start)]
+    found = ops.with_phase(probes, spark.createDataFrame(marks, "marker string, ts timestamp")).orderBy("request_id")
+    assert "".join(r.phase[0] for r in found.collect()) == expected
+
+
 def test_timeline(parsed, rows):
     timeline = ops.zone_timeline(parsed.filter("kind = 'probe'"), "5 seconds")
     assert sum(r.requests for r in timeline.collect()) == 5
