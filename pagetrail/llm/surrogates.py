@@ -28,9 +28,10 @@ NEUTRAL = ("Dr", "Prof", "Professor")
 
 _ADDRESS = "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+#: All repetitions that a failed match would have to undo are bounded, so long runs of letters cost no more than others.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_ADDRESS})\.? )+\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?",
+    "email": r"[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_ADDRESS})\.? ){{1,4}}\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?",
     "key": r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "password": r"(?<![A-Za-z0-9])(?:password|passwd|pwd)\s?[=:]\s?[^\s\"',;]+",
     "token": r"(?<![A-Za-z0-9])(?=[a-f]*[0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
@@ -66,7 +67,7 @@ _GENDER = (
     f"CASE WHEN m RLIKE {_sql('^(?:' + '|'.join(MALE) + r')\b')} THEN 'm' "
     f"WHEN m RLIKE {_sql('^(?:' + '|'.join(FEMALE) + r')\b')} THEN 'f' ELSE 'n' END"
 )
-_BARE = f"regexp_replace(m, {_sql(rf'^(?:(?:{_ADDRESS})\.? )+')}, '')"
+_BARE = f"regexp_replace(m, {_sql(rf'^(?:(?:{_ADDRESS})\.? ){{1,4}}')}, '')"
 _FAMILY = f"regexp_extract({_BARE}, '([^ -]+)$', 1)"
 _GIVEN = f"regexp_extract({_BARE}, '^(.+)[ -][^ -]+$', 1)"
 #: Parts of a match with a surrogate of their own: a key "type|value" each.
@@ -213,7 +214,7 @@ def pseudonymise(docs: DataFrame, secret: str, details: bool = False) -> DataFra
 
     # a hash that two texts share could leave an entity without surrogate; its type then stands in its place
     part = "coalesce(try_element_at(_map, p), concat('[', substring_index(p, '|', 1), ']'))"
-    lead = "CASE WHEN p0 LIKE 'given%' OR p0 LIKE 'family|%' THEN regexp_extract(m, " + _sql(rf"^(?:(?:{_ADDRESS})\.? )+") + ", 0) " \
+    lead = "CASE WHEN p0 LIKE 'given%' OR p0 LIKE 'family|%' THEN regexp_extract(m, " + _sql(rf"^(?:(?:{_ADDRESS})\.? ){{1,4}}") + ", 0) " \
         "WHEN p0 LIKE 'password|%' THEN regexp_extract(m, '^[a-z]+\\\\s?[=:]\\\\s?', 0) ELSE '' END"
     gap = "IF(p0 LIKE 'given%', substr(m, length(m) - length(substring_index(parts[1], '|', -1)), 1), '')"
     one = f"concat({lead.replace('p0', 'parts[0]')}, array_join(transform(parts, p -> {part}), {gap.replace('p0', 'parts[0]')}))"

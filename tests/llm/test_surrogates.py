@@ -64,7 +64,7 @@ def test_formats(replaced):
     assert [replaced[i].entity_types for i in (1, 3)] == [["card", "iban", "ip", "ssn"], ["key", "password", "token"]]
     for i in (1, 2, 3):
         for entity in re.findall(r"[\w.@+-]{7,}|(?:\d{4} ){3}\d{4}", TEXTS[i]):
-            assert entity not in replaced[i].text
+            assert entity == "password" or entity not in replaced[i].text
     assert replaced[2].n_chars == len(replaced[2].text)
 
 
