@@ -43,7 +43,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every entity holds one of these; most texts do not.
-HINT = rf"[0-9@]|(?:password|passwd|pwd)\s?[=:]|(?:{_ADDRESS})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|(?=[p{''.join(sorted({x[0] for x in (*MALE, *FEMALE, *NEUTRAL)}))}])(?:(?:password|passwd|pwd)\s?[=:]|(?:{_ADDRESS})\.? \p{{Lu}})"
 #: From this attempt on the space of surrogates is widened, so that even the smallest one suffices.
 _WIDEN = 4
 
