@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetrail.functions.probes import error_label, succeeded
+from pagetrail.session import materialize
+
+# Buckets that a range of timings is cut into.
+RANGE_BUCKETS = 1024
 
 
 def probe_summary(probes: DataFrame) -> DataFrame:
@@ -78,57 +82,67 @@ def failover_phases(probes: DataFrame, markers: DataFrame) -> DataFrame:
 def timing_summary(timings: DataFrame, quantiles: dict[str, float] | None = None) -> DataFrame:
     """(phase, n, mean, max, <quantiles>) of timings (phase, seconds); quantiles exact and interpolated.
 
-    Values are counted per phase, whole millisecond and value before any ordering. Running totals over milliseconds
-    find the few milliseconds that hold a wanted position; only their values are put in order. No task orders a
-    phase.
+    Each wanted position is found by counting: the range that holds it is cut into buckets, values in the range are
+    counted per bucket, and the bucket with the position is the next range, until all its values are equal. Only
+    bucket counts are shuffled, so neither a phase, nor a bucket, nor a value needs to fit into one task.
     """
     quantiles = quantiles or {"p50": 0.5, "p95": 0.95}
-    values = timings.filter("seconds IS NOT NULL").select(
-        "phase", "seconds", F.floor(F.col("seconds") * 1000).cast("bigint").alias("ms")
-    )
-    distinct = values.groupBy("phase", "ms", "seconds").agg(F.count("*").alias("n"))
+    values = timings.filter("seconds IS NOT NULL").select("phase", "seconds")
     summary = values.groupBy("phase").agg(
-        F.count("*").alias("n"), F.avg("seconds").alias("mean"), F.max("seconds").alias("max")
-    )
+        F.count("*").alias("n"), F.avg("seconds").alias("mean"), F.max("seconds").alias("max"),
+        F.min("seconds").alias("min"),
+    )
+    summary = materialize(summary, "timing-summary")
 
     # both neighbours of every wanted position, as 0-based positions in their phase
-    wanted = summary.select(
-        "phase",
-        F.inline(F.array(*[
-            F.struct(
-                F.lit(name).alias("quantile"),
-                F.floor(F.lit(q) * (F.col("n") - 1)).alias("low"),
-                F.ceil(F.lit(q) * (F.col("n") - 1)).alias("high"),
-                (F.lit(q) * (F.col("n") - 1) - F.floor(F.lit(q) * (F.col("n") - 1))).alias("part"),
-            )
-            for name, q in quantiles.items()
-        ])),
-    )
-    in_phase = Window.partitionBy("phase").orderBy("ms")
-    spans = (
-        values.groupBy("phase", "ms").agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(in_phase))
-        .select("phase", "ms", (F.col("upto") - F.col("n")).alias("before"), "upto")
-    )
-    # wanted has one row per phase and quantile, so this keeps at most two milliseconds for each
-    held = spans.join(wanted, "phase").filter(
-        ((F.col("low") >= F.col("before")) & (F.col("low") < F.col("upto")))
-        | ((F.col("high") >= F.col("before")) & (F.col("high") < F.col("upto")))
-    )
-    in_ms = Window.partitionBy("phase", "ms", "quantile").orderBy("seconds")
-    placed = (
-        distinct.join(held, ["phase", "ms"])
-        .withColumn("last", F.col("before") + F.sum("n").over(in_ms))
-        .withColumn("first", F.col("last") - F.col("n"))
-    )
+    def neighbours(name: str, q: float):
+        exact = F.lit(q) * (F.col("n") - 1)
+        low = F.floor(exact)
+        return F.struct(F.lit(name).alias("quantile"), low.alias("low"), F.ceil(exact).alias("high"), (exact - low).alias("part"))
 
-    def value_at(position: str):
-        inside = (F.col(position) >= F.col("first")) & (F.col(position) < F.col("last"))
-        return F.max(F.when(inside, F.col("seconds")))
+    wanted = summary.select("phase", "min", "max", F.inline(F.array(*[neighbours(*item) for item in quantiles.items()])))
+    ranges = wanted.select("phase", "min", "max", F.explode(F.array("low", "high")).alias("position")).distinct()
+    found = _values_at(values, ranges.select("phase", "position", F.col("min").alias("low"), F.col("max").alias("high")))
 
-    found = placed.groupBy("phase", "quantile").agg(
-        value_at("low").alias("low_value"), value_at("high").alias("high_value"), F.max("part").alias("part")
-    )
+    def with_value(rows: DataFrame, position: str) -> DataFrame:
+        own = found.select(F.col("phase").alias("_phase"), F.col("position").alias("_at"), F.col("value").alias(f"{position}_value"))
+        same = rows["phase"].eqNullSafe(own["_phase"]) & (rows[position] == own["_at"])
+        return rows.join(own, same).drop("_phase", "_at")
+
+    placed = with_value(with_value(wanted.drop("min", "max"), "low"), "high")
     point = F.col("low_value") + (F.col("high_value") - F.col("low_value")) * F.col("part")
     columns = [F.max(F.when(F.col("quantile") == name, point)).alias(name) for name in quantiles]
-    return summary.join(found.groupBy("phase").agg(*columns), "phase", "left")
+    points = placed.groupBy(F.col("phase").alias("_phase")).agg(*columns)
+    same = summary["phase"].eqNullSafe(points["_phase"])
+    return summary.drop("min").join(points, same, "left").drop("_phase")
+
+
+def _values_at(values: DataFrame, ranges: DataFrame, buckets: int = RANGE_BUCKETS) -> DataFrame:
+    """(phase, position, value): the value at each 0-based position of a phase, for ranges (phase, position, low, high)."""
+    ranges = materialize(ranges.withColumn("before", F.lit(0).cast("bigint")), "timing-ranges")
+    key = ["phase", "low", "high"]
+    while not ranges.filter("low < high").isEmpty():
+        open_ranges = ranges.filter("low < high").select(*key).distinct().withColumnRenamed("phase", "_phase")
+        seconds = F.col("seconds")
+        inside = values.join(
+            open_ranges, values["phase"].eqNullSafe(open_ranges["_phase"]) & (seconds >= F.col("low")) & (seconds <= F.col("high"))
+        ).drop("_phase")
+        # the largest value has a bucket of its own, so each range is smaller than the one before
+        share = F.floor((seconds - F.col("low")) / (F.col("high") - F.col("low")) * buckets).cast("bigint")
+        bucket = F.when(seconds == F.col("high"), buckets).otherwise(F.least(F.greatest(share, F.lit(0)), F.lit(buckets - 1)))
+        counted = inside.groupBy(*key, bucket.alias("bucket")).agg(
+            F.count("*").alias("n"), F.min("seconds").alias("next_low"), F.max("seconds").alias("next_high")
+        )
+        upto = F.sum("n").over(Window.partitionBy(*key).orderBy("bucket"))  # at most one row per bucket
+        counted = counted.withColumn("upto", upto).withColumnsRenamed({name: f"_{name}" for name in key})
+        place = F.col("position") - F.col("before")
+        same = (
+            ranges["phase"].eqNullSafe(counted["_phase"]) & (ranges["low"] == counted["_low"]) & (ranges["high"] == counted["_high"])
+        )
+        held = ranges.join(counted, same).filter((place < F.col("upto")) & (place >= F.col("upto") - F.col("n")))
+        smaller = held.select(
+            "phase", "position", F.col("next_low").alias("low"), F.col("next_high").alias("high"),
+            (F.col("before") + F.col("upto") - F.col("n")).alias("before"),
+        )
+        ranges = materialize(smaller.unionByName(ranges.filter("low >= high")), "timing-ranges")
+    return ranges.select("phase", "position", F.col("low").alias("value"))

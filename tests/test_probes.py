@@ -100,3 +100,21 @@ def test_timing_quantiles_are_exact(spark, values):
     found = ops.timing_summary(df).first()
     assert (found.p50, found.p95) == pytest.approx(tuple(exact))
     assert (found.n, found["max"]) == (len(values), max(values))
+
+
+@pytest.mark.parametrize("case", ["microseconds", "hot value", "one value", "extremes"])
+def test_quantiles_of_any_values(spark, case):
+    import numpy as np
+
+    made = np.random.default_rng(5)
+    values = {
+        "microseconds": made.uniform(0, 0.001, 3000),
+        "hot value": np.concatenate([np.full(2500, 0.25), made.exponential(1, 500)]),
+        "one value": np.full(7, 3.5),
+        "extremes": np.concatenate([made.uniform(0, 1, 50), [1e300, -1e300, np.inf]]),
+    }[case]
+    rows = [("a", float(x)) for x in values] + [(None, 1.0), (None, 2.0), ("b", None)]
+    found = {r.phase: r for r in ops.timing_summary(spark.createDataFrame(rows, "phase string, seconds double")).collect()}
+    assert (found[None].n, found[None].p50, found["a"].n, found["a"].max) == (2, 1.5, len(values), values.max())
+    for name, q in (("p50", 0.5), ("p95", 0.95)):
+        assert found["a"][name] == pytest.approx(np.quantile(values, q))

@@ -60,7 +60,6 @@ def test_scans_read_only_what_is_used(spark):
         return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
     assert "ReadSchema: struct<user_id:bigint>" in plan("stats_top_countries")
-    assert "ReadSchema: struct<event_type:string,value:double>" in plan("timing_summary")
     assert "WindowGroupLimit" in plan("dim_ip_addresses") and "WindowGroupLimit" in plan("format_top_links")
     assert "TakeOrderedAndProject" in plan("top_bigrams")
 
