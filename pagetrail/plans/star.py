@@ -80,32 +80,28 @@ QUERIES = {
 }
 
 
-def _filled(column: str, default: str) -> str:
-    return f"CASE WHEN length({column}) > 0 THEN {column} ELSE '{default}' END"
-
-
-def _clean(source: str) -> str:
-    """Log rows with their blanks replaced."""
-    columns = {"client_ip": "0.0.0.0", "gender": "Unknown", "income": "Unknown", "time_of_day": "00:00:00"}
-    replaced = ", ".join(f"{_filled(name, default)} AS {name}" for name, default in columns.items())
-    return f"SELECT * REPLACE ({replaced}), {_filled('country', 'Unknown')} AS country_name FROM {source}"
+# What stands in place of a missing or empty field.
+_COUNTRY = "COALESCE(NULLIF(country, ''), 'Unknown')"
+_IP = "COALESCE(NULLIF(client_ip, ''), '0.0.0.0')"
+_GENDER = "COALESCE(NULLIF(gender, ''), 'Unknown')"
+_INCOME = "COALESCE(NULLIF(income, ''), 'Unknown')"
+_TIME = "COALESCE(NULLIF(time_of_day, ''), '00:00:00')"
 
 
 def _ips(source: str) -> str:
-    return f"""SELECT DISTINCT ON (client_ip) client_ip, country_name
-        FROM (SELECT client_ip, country_name, COUNT(*) AS n FROM ({_clean(source)}) GROUP BY ALL)
-        ORDER BY client_ip, n DESC, country_name"""
+    """The most frequent country of each address, of equals the first by name."""
+    return f"""SELECT client_ip, country_name FROM (
+        SELECT {_IP} AS client_ip, {_COUNTRY} AS country_name, COUNT(*) AS n FROM {source} GROUP BY 1, 2)
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY client_ip ORDER BY n DESC, country_name) = 1"""
 
 
 def _demographics(source: str) -> str:
-    return f"SELECT gender, age, income FROM ({_clean(source)}) GROUP BY ALL"
+    return f"SELECT DISTINCT {_GENDER} AS gender, age, {_INCOME} AS income FROM {source}"
 
 
-_COUNTRIES = f"SELECT country_name FROM ({_clean('request_logs')}) GROUP BY ALL"
-_FACTS = f"""SELECT c.id AS event_id, ips.client_ip, p.gender, p.age, p.income, c.is_banned, c.time_of_day,
-    COALESCE(c.requested_file, '') AS requested_file, c.request_time
-    FROM ({_clean('request_logs')}) c JOIN ips USING (client_ip) JOIN demographics p
-    ON (p.gender, p.income) = (c.gender, c.income) AND p.age IS NOT DISTINCT FROM c.age"""
+_COUNTRIES = f"SELECT DISTINCT {_COUNTRY} AS country_name FROM request_logs"
+_FACTS = f"""SELECT id AS event_id, {_IP} AS client_ip, {_GENDER} AS gender, age, {_INCOME} AS income, is_banned,
+    {_TIME} AS time_of_day, COALESCE(requested_file, '') AS requested_file, request_time FROM request_logs"""
 STAR_CTES = {"ips": _ips("request_logs"), "demographics": _demographics("request_logs"), "facts": _FACTS}
 DENORMALIZED_SQL = """SELECT event_id, client_ip, country_name AS country, gender, age, income, is_banned, time_of_day,
     requested_file, request_time FROM facts JOIN ips USING (client_ip)"""
@@ -127,8 +123,8 @@ ORACLE = {
         "SELECT id AS failed_event_id, request_time, requested_file, error_code FROM failed",
         "http_requests", **ROUTED_CTES, failed=FAILED_LOG_SQL),
     "ip_conflicts": duckdb(
-        """SELECT CAST(SUM(CASE WHEN low <> high THEN 1 ELSE 0 END) AS BIGINT) AS ip_conflicts_in_source
-           FROM (SELECT MIN(country) AS low, MAX(country) AS high FROM request_logs GROUP BY client_ip)""",
+        """SELECT COUNT(*) AS ip_conflicts_in_source
+           FROM (SELECT client_ip FROM request_logs GROUP BY client_ip HAVING COUNT(DISTINCT country) > 1)""",
         "request_logs"),
     "star_row_counts": duckdb(
         """SELECT 'countries' AS table_name, COUNT(*) AS n FROM countries UNION ALL SELECT 'ip_addresses', COUNT(*) FROM ips
