@@ -109,8 +109,10 @@ def write_corpus(pages: DataFrame, directory: str) -> int:
     """Write (file_id, content) rows as ``<directory>/<file_id>.html``; returns the number of files.
 
     Each task writes its own rows. A repeated task writes the same bytes under the same names. The folder must be on
-    storage every task reaches under its qualified name.
+    storage every task reaches under its qualified name. Ids that repeat would share a file and are refused.
     """
+    repeated = pages.groupBy("file_id").count().filter("count > 1")
+    require(repeated.isEmpty(), "several pages have one file_id")
     target = qualified(pages.sparkSession, directory).replace("s3a://", "s3://", 1)
     if target.startswith("file:"):
         target = "/" + target.removeprefix("file:").lstrip("/")

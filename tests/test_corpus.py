@@ -56,6 +56,8 @@ def test_write_corpus_round_trip(spark, tmp_path, rows):
     target = f"{tmp_path}/out"
     assert corpus.write_corpus(pages, target) == 2
     assert rows(corpus.corpus_scan(spark, target), "file_id", "content") == [("1", "é one"), ("2", "two\n")]
+    with pytest.raises(ValueError):
+        corpus.write_corpus(pages.unionByName(pages), f"{tmp_path}/twice")
 
 
 def read(spark, path):
