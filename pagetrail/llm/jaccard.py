@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pagetrail.llm.columns import put_back, set_aside
 from pagetrail.llm.links import components
 from pagetrail.llm.textcodes import _OF_PLACE, grams, mix, slices, word_codes
-from pagetrail.session import materialize
+from pagetrail.session import materialize, scratch_path, scratch_scope
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -268,17 +268,35 @@ _WORDLESS = r"^[\x00-\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F]*$"
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row of each component of linked documents: that of the smallest doc_id (nulls last), of repeated rows any one.
     Null texts and texts without words stay as they are. The columns are those of ``docs``."""
-    _, classes = jaccard_join(docs, **options)
-    first, added = F.col("component_first"), ("_doc", "_null", "_text")
-    kept = classes.filter(F.col("first_doc") == first).select(
-        first["doc_id"].alias("_doc"), first["null"].alias("_null"), first["text_key"].alias("_text")
-    )
+    spark, added = docs.sparkSession, ("_doc", "_null", "_text")
+    once, often = (scratch_path(spark, f"jaccard-{name}") for name in ("once", "often"))
+    with scratch_scope(spark):
+        # from here on only the kept documents count: what led to them goes before the texts are shuffled
+        signed, classes = jaccard_join(docs, **options)
+        first = F.col("component_first")
+        kept = classes.filter(F.col("first_doc") == first).select(
+            "class_key", first["doc_id"].alias("_doc"), first["null"].alias("_null"), first["text_key"].alias("_text")
+        )
+        rows = signed.select("class_key", "doc_id", "text_key")
+        same = (
+            (rows["class_key"] == kept["class_key"])
+            & (rows["text_key"] == kept["_text"])
+            & rows["doc_id"].eqNullSafe(kept["_doc"])
+        )
+        counted = materialize(rows.join(kept, same).groupBy(*added).agg(F.count("*").alias("rows")), "jaccard-kept")
+        one = materialize(counted.filter("rows = 1").drop("rows"), "", once)
+        more = materialize(counted.filter("rows > 1").drop("rows"), "", often)
     keyed = set_aside(docs, added)
     keyed = keyed.withColumns({"_doc": F.col("doc_id"), "_null": F.col("doc_id").isNull(), "_text": F.xxhash64("text")})
     wordless = F.col("text").isNull() | F.col("text").rlike(_WORDLESS)
-    same = (keyed["_text"] == kept["_text"]) & (keyed["_null"] == kept["_null"]) & keyed["_doc"].eqNullSafe(kept["_doc"])
-    one = keyed.filter(~wordless).join(kept, same, "left_semi").dropDuplicates([*added])
-    return put_back(one.unionByName(keyed.filter(wordless)), docs, added)
+
+    def held(kept: DataFrame) -> DataFrame:
+        same = (keyed["_text"] == kept["_text"]) & (keyed["_null"] == kept["_null"]) & keyed["_doc"].eqNullSafe(kept["_doc"])
+        return keyed.filter(~wordless).join(kept, same, "left_semi")
+
+    # only rows that repeat need a further shuffle
+    found = held(one).unionByName(held(more).dropDuplicates([*added])).unionByName(keyed.filter(wordless))
+    return put_back(found, docs, added)
 
 
 QUERIES = {"op9_ngram_jaccard_join": op9_ngram_jaccard_join}
