@@ -9,7 +9,8 @@
 4. Links of all passes are united to components.
 
 The number of passes follows from the threshold, the number of classes and the wanted recall (``plan_passes``). Groups of more
-different near-duplicates than the window holds are linked within windows only; their component is whole all the same.
+different near-duplicates than the window holds are linked within windows only, which as a rule still
+holds their component together.
 
 Null and empty vectors, those of length 0 and those with null or non-finite components link with nothing. Vectors with
 different numbers of components are not compared. Repeated rows and ties are ordinary copies.
