@@ -7,10 +7,12 @@
 3. Each class carries its places in all passes: a pair that an earlier pass has already compared is left out, so every
    link is counted once, and only links per class and the smallest class that it reaches leave a task.
 4. Links of all passes are united to components.
+5. A window holds not all near copies of a class in a dense group, so links are counted anew in each component of more than
+   two classes: all its pairs are compared, a large component in pairs of blocks.
 
-The number of passes follows from the threshold, the number of classes and the wanted recall (``plan_passes``). Groups of more
-different near-duplicates than the window holds are linked within windows only, which as a rule still
-holds their component together.
+All links inside a component are therefore counted, whatever its size. The passes decide only which classes share a component:
+their number follows from the threshold, the number of classes and the wanted recall (``plan_passes``), and in a dense group
+the windows overlap to chains. The work on a group grows with the square of its classes.
 
 Null and empty vectors, those of length 0 and those with null or non-finite components link with nothing. Vectors with
 different numbers of components are not compared. Repeated rows and ties are ordinary copies.
@@ -35,10 +37,13 @@ WINDOW = 256
 LEAST_PASSES = 12
 #: Classes whose windows one group of rows holds; the window before them comes along.
 BLOCK = 1024
+#: Classes, and numbers in their vectors, of a block of a large component; small components share a task up to this size.
+PART_CLASSES, PART_NUMBERS = 2048, 1 << 22
 #: Passes that are compared together: so many copies of the vectors are shuffled at a time.
 TOGETHER = 3
 _BITS = 63
 _ROWS = 4096
+_STRIPE = 512
 
 
 def plan_passes(threshold: float, classes: int, window: int, recall: float) -> int:
@@ -64,6 +69,13 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
 
+def _unit_vectors(column: pa.Array, size: int) -> np.ndarray:
+    vectors = _matrix(column, size)
+    vectors /= np.abs(vectors).max(axis=1)[:, None]
+    vectors /= np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+    return vectors
+
+
 def _codes(classes: DataFrame, passes: int) -> DataFrame:
     """key, size (number of components) and one sign code per pass."""
 
@@ -112,9 +124,7 @@ def _compare(number: int, table: pa.Table, threshold: float, window: int):
     out = []
     for own in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):
         own = own[np.argsort(keys[own])]
-        vectors = _matrix(table["embedding"].combine_chunks().take(pa.array(own)), int(sizes[own[0]]))
-        vectors /= np.abs(vectors).max(axis=1)[:, None]
-        vectors /= np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+        vectors = _unit_vectors(table["embedding"].combine_chunks().take(pa.array(own)), int(sizes[own[0]]))
         linked = vectors @ vectors.T >= threshold
         np.fill_diagonal(linked, False)
         linked &= ~(context[own][:, None] & context[own][None, :])
@@ -137,6 +147,56 @@ def _compare(number: int, table: pa.Table, threshold: float, window: int):
     return map(np.concatenate, zip(*out, strict=True))
 
 
+def _counted(vectors: np.ndarray, rows: np.ndarray, one: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
+    """Per class the rows it is linked with, from all pairs of the classes ``one`` with ``other``, or of ``one`` if both are equal."""
+    links = np.zeros(len(rows))
+    same = one is other
+    for start in range(0, len(one), _STRIPE):
+        some = one[start : start + _STRIPE]
+        linked = (vectors[some] @ vectors[other].T >= threshold).astype(np.float64)
+        if same:
+            linked[np.arange(len(some)), start + np.arange(len(some))] = 0
+        else:
+            links[other] += rows[some] @ linked
+        links[some] += linked @ rows[other]
+    return links
+
+
+def _inside_components(held: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """key and links, the rows it is linked with, for each class of a component of more than two classes."""
+    members = roots.select("key", "root").unionByName(roots.select(F.col("root").alias("key"), "root").distinct())
+    members = materialize(members.join(held.select("key", "rows", "embedding", "size"), "key"), "vector-members")
+    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.max("size").alias("numbers")).filter("n > 2")
+    parts = F.ceil(F.greatest(F.col("n") / PART_CLASSES, F.col("n") * F.col("numbers") / PART_NUMBERS)).cast("int")
+    sizes = materialize(sizes.select("root", "n", (F.col("n") * F.col("numbers")).alias("numbers"), parts.alias("parts")), "vector-sizes")
+    small = sizes.filter("parts = 1").agg(F.sum("n") / PART_CLASSES, F.sum("numbers") / PART_NUMBERS).first()
+    units = max(1, *(math.ceil(x or 0) for x in small))
+    placed = members.join(sizes.select("root", "parts"), "root")
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    placed = placed.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+    unit = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("root"), F.lit(units))).otherwise(F.xxhash64("root", "low", "high"))
+    placed = placed.select("key", "root", "rows", "embedding", "size", "part", "low", "high", unit.alias("unit"))
+
+    def count(table: pa.Table) -> pa.Table:
+        keys, roots, rows, sizes, part, low, high = (
+            table[c].to_numpy() for c in ("key", "root", "rows", "size", "part", "low", "high")
+        )
+        embeddings, weights = table["embedding"].combine_chunks(), rows.astype(np.float64)
+        links = np.zeros(len(keys))
+        order = np.lexsort((high, low, roots))
+        change = (np.diff(roots[order]) != 0) | (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+        for own in np.split(order, np.flatnonzero(change) + 1):
+            vectors = _unit_vectors(embeddings.take(pa.array(own)), int(sizes[own[0]]))
+            one = np.flatnonzero(part[own] == low[own[0]])
+            other = one if low[own[0]] == high[own[0]] else np.flatnonzero(part[own] == high[own[0]])
+            links[own] = _counted(vectors, weights[own], one, other, threshold)
+        return pa.table({"key": keys, "links": links.astype(np.int64)})
+
+    found = placed.groupBy("unit").applyInArrow(count, "key bigint, links bigint")
+    return materialize(found.groupBy("key").agg(F.sum("links").alias("inside")), "vector-inside")
+
+
 def near_duplicates(
     vectors: DataFrame,
     threshold: float = THRESHOLD,
@@ -172,9 +232,11 @@ def near_duplicates(
         found = materialize(found, "vector-links")
         links = found if links is None else links.unionByName(found)
     roots = components(links.select(F.col("key").alias("a"), F.col("reaches").alias("b"))).withColumnRenamed("node", "key")
+    roots = materialize(roots, "vector-roots")
     counted = links.groupBy("key").agg(F.sum("links").alias("links"))
     known = classes.select("key", "first_id", "rows").join(counted, "key", "left").join(roots, "key", "left")
-    known = known.withColumns({"root": F.coalesce("root", "key"), "links": F.coalesce("links", F.lit(0))})
+    known = known.join(_inside_components(held, roots, threshold), "key", "left")
+    known = known.withColumns({"root": F.coalesce("root", "key"), "links": F.coalesce("inside", "links", F.lit(0))}).drop("inside")
     known = materialize(known, "vector-known")
     firsts = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = materialize(known.join(firsts, "root").select("key", "rows", "links", "component_id"), "vector-components")

@@ -72,6 +72,26 @@ def test_windows_link_no_pair_twice_and_none_below(spark):
         assert sum(r.n_links for r in found) >= 0.9 * sum(exact.values())
 
 
+def test_group_of_many_different_near_copies(spark):
+    """More near copies than a window and than a block of a component hold, all different, and copies of some of them."""
+    r = np.random.default_rng(11)
+    centre = r.standard_normal(64) / 8
+    near = [centre + r.standard_normal(64) / 8 * s for s in r.uniform(0.12, 0.3, 2 * v.PART_CLASSES)]
+    every = np.array([*near, *near[:5], *(r.standard_normal(64) for _ in range(4000))], np.float32)
+    every = every[r.permutation(len(every))]
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(every)], "vec_id bigint, embedding array<float>")
+    exact = every.astype(np.float64)
+    exact /= np.sqrt((exact * exact).sum(axis=1))[:, None]
+    exact = exact @ exact.T >= v.THRESHOLD
+    np.fill_diagonal(exact, False)
+    found = {x.vec_id: x for x in v.near_duplicates(frame.repartition(5)).collect()}
+    links = np.array([found[i].n_links for i in range(len(every))])
+    component = np.array([found[i].component_id for i in range(len(every))])
+    # the passes decide who shares a component; inside one no link is missed
+    assert links.tolist() == (exact & (component[:, None] == component[None, :])).sum(axis=1).tolist()
+    assert links.sum() >= 0.9999 * exact.sum()
+
+
 def test_repeated_null_ids_and_empty_table(spark):
     one = [1.0, 0.5, 0.25]
     frame = spark.createDataFrame([(5, one), (5, one), (None, one), (9, one)], "vec_id bigint, embedding array<double>")
