@@ -1,7 +1,7 @@
 r"""Operator 8: personal data replaced by keyed surrogates, with built-in functions only.
 
-Detected: e-mail addresses, names after a form of address, access keys, passwords after ``password=``, hexadecimal tokens, IBANs,
-social security numbers, IP addresses, phone and card numbers. A surrogate is derived from a keyed hash of the entity and
+Detected: e-mail addresses, names after a form of address, access keys, passwords after ``password=``, hexadecimal tokens of any
+length from 32, IBANs, social security numbers, IP addresses, phone and card numbers. A surrogate is derived from a keyed hash of the entity and
 
 * has its type and format: separators, letter case, length, country prefix; card numbers and IBANs have a valid check digit
   if the original has; e-mail addresses of one domain share a domain; tokens stay hexadecimal;
@@ -28,13 +28,15 @@ NEUTRAL = ("Dr", "Prof", "Professor")
 
 _ADDRESS = "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-#: All repetitions that a failed match would have to undo are bounded, so long runs of letters cost no more than others.
+#: Words that announce a password, in any letter case.
+_PASSWORD = "(?i:password|passwd|pwd)"
+#: All repetitions that a failed match would have to undo are bounded or possessive, so long runs cost no more than others.
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_ADDRESS})\.? ){{1,4}}\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?",
     "key": r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "password": r"(?<![A-Za-z0-9])(?:password|passwd|pwd)\s?[=:]\s?[^\s\"',;]+",
-    "token": r"(?<![A-Za-z0-9])(?=[a-f]*[0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
+    "password": rf"(?<![A-Za-z0-9]){_PASSWORD}\s?[=:]\s?[^\s\"',;]+",
+    "token": r"(?<![A-Za-z0-9])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{32,}+(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
@@ -43,7 +45,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every entity holds one of these; most texts do not.
-HINT = rf"[0-9@]|(?=[p{''.join(sorted({x[0] for x in (*MALE, *FEMALE, *NEUTRAL)}))}])(?:(?:password|passwd|pwd)\s?[=:]|(?:{_ADDRESS})\.? \p{{Lu}})"
+HINT = rf"[0-9@]|(?=[pP{''.join(sorted({x[0] for x in (*MALE, *FEMALE, *NEUTRAL)}))}])(?:{_PASSWORD}\s?[=:]|(?:{_ADDRESS})\.? \p{{Lu}})"
 #: From this attempt on the space of surrogates is widened, so that even the smallest one suffices.
 _WIDEN = 4
 
@@ -74,7 +76,7 @@ _GIVEN = f"regexp_extract({_BARE}, '^(.+)[ -][^ -]+$', 1)"
 _PARTS = f"""CASE {_TYPE}
   WHEN 'name' THEN IF({_GIVEN} = '', array(concat('family|', {_FAMILY})),
                       array(concat('given_', {_GENDER}, '|', {_GIVEN}), concat('family|', {_FAMILY})))
-  WHEN 'password' THEN array(concat('password|', regexp_replace(m, '^[a-z]+\\\\s?[=:]\\\\s?', '')))
+  WHEN 'password' THEN array(concat('password|', regexp_replace(m, '^[A-Za-z]+\\\\s?[=:]\\\\s?', '')))
   ELSE array(concat({_TYPE}, '|', m)) END"""
 
 
@@ -215,7 +217,7 @@ def pseudonymise(docs: DataFrame, secret: str, details: bool = False) -> DataFra
     # a hash that two texts share could leave an entity without surrogate; its type then stands in its place
     part = "coalesce(try_element_at(_map, p), concat('[', substring_index(p, '|', 1), ']'))"
     lead = "CASE WHEN p0 LIKE 'given%' OR p0 LIKE 'family|%' THEN regexp_extract(m, " + _sql(rf"^(?:(?:{_ADDRESS})\.? ){{1,4}}") + ", 0) " \
-        "WHEN p0 LIKE 'password|%' THEN regexp_extract(m, '^[a-z]+\\\\s?[=:]\\\\s?', 0) ELSE '' END"
+        "WHEN p0 LIKE 'password|%' THEN regexp_extract(m, '^[A-Za-z]+\\\\s?[=:]\\\\s?', 0) ELSE '' END"
     gap = "IF(p0 LIKE 'given%', substr(m, length(m) - length(substring_index(parts[1], '|', -1)), 1), '')"
     one = f"concat({lead.replace('p0', 'parts[0]')}, array_join(transform(parts, p -> {part}), {gap.replace('p0', 'parts[0]')}))"
     replaced = f"transform(_found, m -> aggregate(array({_PARTS}), '', (a, parts) -> {one}))"

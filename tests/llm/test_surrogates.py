@@ -114,3 +114,30 @@ def test_no_entity_of_the_tables_is_left(spark):
             assert a not in after[i].text
             mapped[a].add(b)
     assert all(len(x) == 1 for x in mapped.values()) and len({x for y in mapped.values() for x in y}) == len(mapped)
+
+
+def test_tokens_and_passwords_in_any_case_and_length(spark):
+    tokens = ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "9233a8EcF7c5b09fE5949719b6B82bc4", "0f" * 64 + "7", "A1" * 5000, "f" * 40 + "0" * 40]
+    texts = [f'TOKEN = "{t}", end' for t in tokens] + ["PASSWORD=Ab3xY, Passwd: QWERTZ; pwd = zz", "Pwd: HUNTER"]
+    stay = ["F" * 40, "x" + "A1" * 20, "a" * 200_000 + "g", "A" * 200_000 + " word"]
+    docs = spark.createDataFrame(list(enumerate(texts + stay)), "doc_id bigint, text string")
+    found = [r for r in sorted(s.pseudonymise(docs, "key", details=True).collect())]
+    for t, r in zip(tokens, found):
+        new = re.fullmatch(r'TOKEN = "([0-9A-Fa-f]+)", end', r.text)[1]
+        assert new != t and r.entity_types == ["token"]
+        assert ["9" if c.isdigit() else "A" if c.isupper() else "a" for c in new] == ["9" if c.isdigit() else "A" if c.isupper() else "a" for c in t]
+    m = re.fullmatch(r"PASSWORD=([A-Z][a-z]\d[a-z][A-Z]), Passwd: ([A-Z]{6}); pwd = ([a-z]{2})", found[5].text)
+    assert m and not {"Ab3xY", "QWERTZ", "zz"} & set(m.groups())
+    assert re.fullmatch("Pwd: [A-Z]{6}", found[6].text) and "HUNTER" not in found[6].text
+    assert [r.text for r in found[7:]] == stay
+
+
+def test_no_secret_in_any_case_is_left(spark):
+    sf = "/root/testdata/sf0.1"
+    find = re.compile(r"(?<![a-z0-9])(?=[a-f]*\d)[0-9a-f]{32,}(?![a-z0-9])|(?<=password=)\w+", re.I)
+    before = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    after = {r.doc_id: r.text for r in s.op8_surrogates(spark, sf).collect()}
+    secrets = [(i, x) for i, text in before.items() if text for x in find.findall(text)]
+    assert any(x.isupper() for _, x in secrets)
+    left = [(i, x) for i, x in secrets if x in after[i]]
+    assert not left, (len(left), len(secrets), left[:3])
