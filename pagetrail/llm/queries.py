@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("decontaminate", "toxicity", "packing", "tokens", "language", "warc", "extraction", "surrogates", "jaccard", "vectors")
+MODULES = ("decontaminate", "toxicity", "packing", "tokens", "language", "warc", "extraction", "surrogates", "jaccard", "vectors", "phrases", "walks", "codebooks")
 
 
 def _modules():
