@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagetrail.llm.textcodes import mix
+from pagetrail.llm.textcodes import mix, slices
 from pagetrail.session import materialize
 
 LEAST = 100
@@ -37,7 +37,7 @@ TOP = 2000
 #: A phrase goes if a longer one around it has this share of its count, in percent.
 SHARE = 100
 #: Bytes of text that are tokenised at once.
-STRETCH = 4 << 20
+STRETCH = 1 << 20
 #: Distinct suffixes of one task.
 SUFFIXES = 1_000_000
 #: Bits of the field of frequent pairs: so many for each, within these powers of two. The largest field has 64 MB.
@@ -80,7 +80,7 @@ def _stretches(texts: Iterable[str]) -> Iterator[bytes]:
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
     """Language, word numbers (0 between pieces) and words of each stretch."""
-    for batch in batches:
+    for batch in slices(batches, most=STRETCH):
         langs = batch["lang"]
         for lang in pc.unique(langs).to_pylist():
             texts = batch["text"].filter(pc.equal(langs, lang))
@@ -111,7 +111,7 @@ def _pairs(lang: str, ids: np.ndarray, words: list[bytes]) -> tuple[np.ndarray,
 
 
 def _counts(docs: DataFrame) -> DataFrame:
-    """lang, word, pair and their count: rows of words, rows of hashed pairs, and a row with neither for all words."""
+    """lang, word, pair and their count: rows of words, rows of hashed pairs without a language, and a row for all words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, ids, words in _tokens(batches):
@@ -127,8 +127,9 @@ def _counts(docs: DataFrame) -> DataFrame:
                 "pair": pa.concat_arrays([none[1], pa.array(pairs.view(np.int64)), pa.nulls(1, pa.int64())]),
                 "n": pa.array(np.concatenate([number[held], times, [number.sum()]]).astype(np.int64)),
             }
-            size = len(columns["n"])
-            yield pa.record_batch({"lang": pa.array([lang]).take(pa.array(np.zeros(size, np.int32))), **columns})
+            of_pair = np.arange(len(columns["n"])) - len(held)
+            names = pa.array(np.zeros(len(of_pair), np.int32), mask=(of_pair >= 0) & (of_pair < len(pairs)))
+            yield pa.record_batch({"lang": pa.array([lang]).take(names), **columns})
 
     return docs.mapInArrow(count, "lang string, word string, pair bigint, n bigint")
 
@@ -213,9 +214,10 @@ def _phrases(suffixes: DataFrame, least: int, most: int) -> DataFrame:
     number = max(number, int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches))
-        if not held.num_rows:
+        some = [batch for batch in batches if batch.num_rows]
+        if not some:
             return
+        held = pa.Table.from_batches(some)
         words = held["words"].combine_chunks()
         lengths = words.value_lengths().to_numpy().astype(np.int64)
         names = held["lang"].combine_chunks().dictionary_encode()
