@@ -29,24 +29,35 @@ def corpus_report(
 ) -> None:
     """Top in-links, out-links and bigrams of a folder or pattern of HTML files, one text folder each.
 
-    ``source`` may also be a table written by ``compact_corpus``. Options and summary are the same for both.
+    ``source`` may also be a table written by ``compact_corpus``. Options, summary and the outcome of each file are the same
+    for both. What was read is counted by the job that reads it.
     """
     if corpus.is_table(spark, source):
         table = spark.read.parquet(source)
-        found = table.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first().asDict()
-        corpus.require(found["files"] > 0, f"no HTML files under {source}")
-        scanned = corpus.table_first_n(table, max_files, on_bad_utf8)
+        listed, chosen = table.select("path", "bytes"), corpus.first_rows(table, max_files)
+        wanted = corpus.first_rows(listed, max_files)
     else:
-        found = corpus.file_totals(spark, source)
-        corpus.require(found["files"] > 0, f"no HTML files under {source}")
-        scanned = corpus.corpus_first_n(spark, source, max_files, on_bad_utf8)
+        listed, wanted = corpus.listing(spark, source), corpus.listing(spark, source, max_files)
+        chosen = corpus.pages_of(corpus.first_files(spark, source, max_files))
+    found = listed.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first().asDict()
+    corpus.require(found["files"] > 0, f"no HTML files under {source}")
     used = min(max_files, found["files"]) if max_files is not None and max_files > 0 else found["files"]
-    scanned = materialize(scanned.select("path", "file_id", "content"), "pages")
-    read = scanned.count()
+    read, seen = corpus.observed(chosen)
+    read = materialize(read.select("path", "file_id", "content", "bytes", "damaged"), "pages")
+    seen = seen.get
+    scanned = corpus.kept_pages(read, on_bad_utf8)
     _write_top_lists(materialize(pages.format_top_links(pages.top_lists(scanned)), "top-lists"), output)
-    summary = [f"Input: {source}", f"Files processed: {read}", f"Bytes found: {found['bytes']}"]
-    if read < used:
-        summary.append(f"Files skipped: {used - read}")
+    outcomes = corpus.file_outcomes(wanted, read, on_bad_utf8)
+    outcomes.write.mode("overwrite").option("header", True).csv(f"{output}/files")
+    skipped = seen["damaged"] if on_bad_utf8 == "skip" else 0
+    processed = seen["files"] - skipped
+    summary = [f"Input: {source}", f"Files processed: {processed}", f"Bytes found: {found['bytes']}"]
+    if processed < used:
+        summary.append(f"Files skipped: {used - processed}")
+    if seen["damaged"]:
+        summary.append(f"Files damaged: {seen['damaged']}")
+    if seen["files"] < used:
+        summary.append(f"Files unreadable: {used - seen['files']}")
     if used < found["files"]:
         summary.append(f"(Subset of {found['files']} files.)")
     write_lines(_lines(spark, summary), f"{output}/run")

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetrail.functions.probes import error_label, succeeded
+from pagetrail.operators.intervals import consecutive, interval_join
 from pagetrail.session import materialize
 
-# Buckets that a range of timings is cut into.
-RANGE_BUCKETS = 1024
+# The sketch of timings knows the place of a value up to this part of all of them.
+ACCURACY = 20_000
 
 
 def probe_summary(probes: DataFrame) -> DataFrame:
@@ -46,29 +47,31 @@ def zone_timeline(probes: DataFrame, width: str = "10 seconds", watermark: str |
     return counted.select(F.col("window.start").alias("window_start"), "zone", "requests", "successes")
 
 
-def with_phase(probes: DataFrame, markers: DataFrame) -> DataFrame:
-    """Probes with ``phase``: before the first stop marker, down from a stop marker to the next start marker, restored
-    from there to the next stop marker. Without a stop marker everything is before; other markers do not count.
-
-    The markers, one per event of an experiment, become one ordered list, and the number of them up to a probe gives
-    its interval, so probes are labelled in place, unshuffled.
+def phase_intervals(markers: DataFrame, kind: str = "timestamp") -> DataFrame:
+    """(phase, since, until) of an experiment: down from a stop marker to the next start marker, restored from there to the
+    next stop marker. The last one has no end, nothing is listed before the first stop marker, and other markers do not count.
     """
-    moment = F.col("ts").cast(probes.schema["ts"].dataType)
     events = markers.filter(F.col("marker").isin("MARKER_T0_STOP", "MARKER_T0_START") & F.col("ts").isNotNull())
     # a start at the moment of a stop comes after it
-    event = F.struct(moment.alias("ts"), (F.col("marker") == "MARKER_T0_START").alias("starts"))
-    ordered = events.agg(F.array_sort(F.collect_list(event)).alias("events"))
-    moments = ordered.select(F.transform("events", lambda x: x["ts"]).alias("moments"))
+    events = events.select(F.col("ts").cast(kind).alias("since"), (F.col("marker") == "MARKER_T0_START").alias("starts"))
+    first_stop = events.filter("NOT starts").agg(F.min("since")).scalar()
+    ordered = consecutive(events, "since", "starts").filter(F.col("since") >= first_stop)
+    phase = F.when(F.col("starts"), "restored").otherwise("down").alias("phase")
+    # of several markers at one moment the last one counts
+    return ordered.filter("until IS NULL OR since < until").select(phase, "since", "until")
 
-    def after(x, i):
-        stopped = F.exists(F.slice("events", F.lit(1), i + 1), lambda y: ~y["starts"])
-        return F.when(~stopped, "before").when(x["starts"], "restored").otherwise("down")
 
-    phases = ordered.select(F.concat(F.array(F.lit("before")), F.transform("events", after)).alias("phases"))
-    # a marker at the moment of a probe is passed
-    just_after = F.col("ts") + F.expr("INTERVAL 1 MICROSECOND")
-    passed = F.array_position(F.sort_array(F.array_append(moments.scalar(), just_after)), just_after)
-    return probes.withColumn("phase", F.element_at(phases.scalar(), passed.cast("int")))
+def with_phase(probes: DataFrame, markers: DataFrame) -> DataFrame:
+    """Probes with ``phase``: before the first stop marker, and then that of the interval between markers they fall into.
+
+    A marker at the moment of a probe is passed. Probes without a moment have no phase.
+    """
+    intervals = materialize(phase_intervals(markers, probes.schema["ts"].dataType.simpleString()), "phase-intervals")
+    joined = interval_join(probes, intervals.filter("until IS NOT NULL"), "ts", "since", "until")
+    last = intervals.filter("until IS NULL")  # one row
+    reached = F.col("ts") >= last.select("since").scalar()
+    phase = F.coalesce("phase", F.when(reached, last.select("phase").scalar()), F.lit("before"))
+    return joined.select(*probes.columns, F.when(F.col("ts").isNotNull(), phase).alias("phase"))
 
 
 def failover_phases(probes: DataFrame, markers: DataFrame) -> DataFrame:
@@ -79,70 +82,62 @@ def failover_phases(probes: DataFrame, markers: DataFrame) -> DataFrame:
     )
 
 
-def timing_summary(timings: DataFrame, quantiles: dict[str, float] | None = None) -> DataFrame:
+def timing_summary(timings: DataFrame, quantiles: dict[str, float] | None = None, accuracy: int = ACCURACY) -> DataFrame:
     """(phase, n, mean, max, <quantiles>) of timings (phase, seconds); quantiles exact and interpolated.
 
-    Each wanted position is found by counting: the range that holds it is cut into buckets, values in the range are
-    counted per bucket, and the bucket with the position is the next range, until all its values are equal. Only
-    bucket counts are shuffled, so neither a phase, nor a bucket, nor a value needs to fit into one task.
+    The first scan sums up and keeps a sketch per phase, whose quantiles a little below and above a wanted position bracket
+    it. The second scan counts what lies below each bracket, and the values in it one by one: about ``4 / accuracy`` of a
+    phase, or all values of a phase with few rows. A bracket that the sketch should have misplaced is opened to all values.
     """
     quantiles = quantiles or {"p50": 0.5, "p95": 0.95}
     values = timings.filter("seconds IS NOT NULL").select("phase", "seconds")
+    around = [x for q in quantiles.values() for x in (max(q - 2 / accuracy, 0.0), min(q + 2 / accuracy, 1.0))]
     summary = values.groupBy("phase").agg(
-        F.count("*").alias("n"), F.avg("seconds").alias("mean"), F.max("seconds").alias("max"),
-        F.min("seconds").alias("min"),
+        F.count("*").alias("n"), F.avg("seconds").alias("mean"), F.max("seconds").alias("max"), F.min("seconds").alias("min"),
+        F.percentile_approx("seconds", F.array(*map(F.lit, around)), F.lit(accuracy)).alias("around"),
     )
     summary = materialize(summary, "timing-summary")
 
-    # both neighbours of every wanted position, as 0-based positions in their phase
-    def neighbours(name: str, q: float):
+    def wanted(i: int, name: str, q: float):
         exact = F.lit(q) * (F.col("n") - 1)
-        low = F.floor(exact)
-        return F.struct(F.lit(name).alias("quantile"), low.alias("low"), F.ceil(exact).alias("high"), (exact - low).alias("part"))
-
-    wanted = summary.select("phase", "min", "max", F.inline(F.array(*[neighbours(*item) for item in quantiles.items()])))
-    ranges = wanted.select("phase", "min", "max", F.explode(F.array("low", "high")).alias("position")).distinct()
-    found = _values_at(values, ranges.select("phase", "position", F.col("min").alias("low"), F.col("max").alias("high")))
-
-    def with_value(rows: DataFrame, position: str) -> DataFrame:
-        own = found.select(F.col("phase").alias("_phase"), F.col("position").alias("_at"), F.col("value").alias(f"{position}_value"))
-        same = rows["phase"].eqNullSafe(own["_phase"]) & (rows[position] == own["_at"])
-        return rows.join(own, same).drop("_phase", "_at")
-
-    placed = with_value(with_value(wanted.drop("min", "max"), "low"), "high")
-    point = F.col("low_value") + (F.col("high_value") - F.col("low_value")) * F.col("part")
-    columns = [F.max(F.when(F.col("quantile") == name, point)).alias(name) for name in quantiles]
-    points = placed.groupBy(F.col("phase").alias("_phase")).agg(*columns)
-    same = summary["phase"].eqNullSafe(points["_phase"])
-    return summary.drop("min").join(points, same, "left").drop("_phase")
-
-
-def _values_at(values: DataFrame, ranges: DataFrame, buckets: int = RANGE_BUCKETS) -> DataFrame:
-    """(phase, position, value): the value at each 0-based position of a phase, for ranges (phase, position, low, high)."""
-    ranges = materialize(ranges.withColumn("before", F.lit(0).cast("bigint")), "timing-ranges")
-    key = ["phase", "low", "high"]
-    while not ranges.filter("low < high").isEmpty():
-        open_ranges = ranges.filter("low < high").select(*key).distinct().withColumnRenamed("phase", "_phase")
-        seconds = F.col("seconds")
-        inside = values.join(
-            open_ranges, values["phase"].eqNullSafe(open_ranges["_phase"]) & (seconds >= F.col("low")) & (seconds <= F.col("high"))
-        ).drop("_phase")
-        # the largest value has a bucket of its own, so each range is smaller than the one before
-        share = F.floor((seconds - F.col("low")) / (F.col("high") - F.col("low")) * buckets).cast("bigint")
-        bucket = F.when(seconds == F.col("high"), buckets).otherwise(F.least(F.greatest(share, F.lit(0)), F.lit(buckets - 1)))
-        counted = inside.groupBy(*key, bucket.alias("bucket")).agg(
-            F.count("*").alias("n"), F.min("seconds").alias("next_low"), F.max("seconds").alias("next_high")
-        )
-        upto = F.sum("n").over(Window.partitionBy(*key).orderBy("bucket"))  # at most one row per bucket
-        counted = counted.withColumn("upto", upto).withColumnsRenamed({name: f"_{name}" for name in key})
-        place = F.col("position") - F.col("before")
-        same = (
-            ranges["phase"].eqNullSafe(counted["_phase"]) & (ranges["low"] == counted["_low"]) & (ranges["high"] == counted["_high"])
-        )
-        held = ranges.join(counted, same).filter((place < F.col("upto")) & (place >= F.col("upto") - F.col("n")))
-        smaller = held.select(
-            "phase", "position", F.col("next_low").alias("low"), F.col("next_high").alias("high"),
-            (F.col("before") + F.col("upto") - F.col("n")).alias("before"),
+        few = F.col("n") <= 4 * accuracy
+        low, high = (F.when(few, F.col(end)).otherwise(F.get("around", F.lit(2 * i + k))) for k, end in ((0, "min"), (1, "max")))
+        return F.struct(
+            F.lit(name).alias("quantile"), F.floor(exact).alias("first"), F.ceil(exact).alias("second"),
+            (exact - F.floor(exact)).alias("part"), low.alias("low"), high.alias("high"),
         )
-        ranges = materialize(smaller.unionByName(ranges.filter("low >= high")), "timing-ranges")
-    return ranges.select("phase", "position", F.col("low").alias("value"))
+
+    each = F.array(*[wanted(i, *item) for i, item in enumerate(quantiles.items())])
+    brackets = materialize(summary.select("phase", "min", "max", F.inline(each)), "timing-brackets")
+    points = materialize(_points(values, brackets), "timing-points")
+    astray = points.filter("point IS NULL").select("phase", "quantile")
+    if not astray.isEmpty():
+        missed = brackets.alias("b").join(
+            astray.alias("a"), F.expr("b.phase <=> a.phase AND b.quantile = a.quantile"), "left_semi"
+        )
+        again = _points(values, missed.withColumns({"low": F.col("min"), "high": F.col("max")}))
+        points = points.filter("point IS NOT NULL").unionByName(again)
+    columns = [F.max(F.when(F.col("quantile") == name, F.col("point"))).alias(name) for name in quantiles]
+    by_phase = points.groupBy(F.col("phase").alias("_phase")).agg(*columns)
+    same = summary["phase"].eqNullSafe(by_phase["_phase"])
+    return summary.drop("min", "around").join(by_phase, same, "left").drop("_phase")
+
+
+def _points(values: DataFrame, brackets: DataFrame) -> DataFrame:
+    """(phase, quantile, point) for brackets (phase, quantile, first, second, part, low, high); a point outside its bracket is null."""
+    own = brackets.withColumnRenamed("phase", "_phase")
+    met = values.join(own, values["phase"].eqNullSafe(own["_phase"]) & (F.col("seconds") <= F.col("high"))).drop("_phase")
+    key = ["phase", "quantile", "first", "second", "part"]
+    value = F.when(F.col("seconds") >= F.col("low"), F.col("seconds")).alias("value")
+    counted = met.groupBy(*key, value).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("phase", "quantile").orderBy(F.col("value").asc_nulls_first()))
+    placed = counted.withColumn("upto", upto)
+
+    def at(position: str):
+        held = F.col("value").isNotNull() & (F.col(position) < F.col("upto")) & (F.col(position) >= F.col("upto") - F.col("n"))
+        return F.max(F.when(held, F.col("value"))).alias(f"{position}_value")
+
+    found = placed.groupBy("phase", "quantile", "part").agg(at("first"), at("second"))
+    point = F.col("first_value") + (F.col("second_value") - F.col("first_value")) * F.col("part")
+    exact = F.when(F.col("part") == 0, F.col("first_value")).otherwise(point)
+    return found.select("phase", "quantile", exact.alias("point"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.logs import age_group
+from pagetrail.session import materialize
 
 
 def success_vs_failure(logs: DataFrame, failed: DataFrame) -> DataFrame:
@@ -46,41 +47,40 @@ def top_income_group(logs: DataFrame) -> DataFrame:
 def stats_report(logs: DataFrame, failed: DataFrame) -> DataFrame:
     """(position, metric, rows): the six results in the order of the report, the rows of each as a JSON list in order.
 
-    The log is counted once for all results; what follows works on one row per metric and value.
+    The log is counted once for all results, and the counts are written. Each result then takes its own first rows: every task
+    keeps as many as the result shows, so no task ranks all values of a metric.
     """
     counts = metric_values(logs).groupBy("metric", "value").agg(F.count("*").alias("count"))
-    place = F.row_number().over(Window.partitionBy("metric").orderBy(F.desc("count"), "value"))
-    # Name and position of each result, its column, and how many rows it shows.
-    grouped = [(3, "male_vs_female", "gender", None), (4, "top_5_countries", "country", 5),
-               (5, "top_age_group", "age_group", 1), (6, "top_income_group", "income", 1)]
-    shown = F.col("metric") == "is_banned"
-    row = F.lit(None).cast("string")
-    for _, _, column, limit in grouped:
-        own = F.col("metric") == column
-        shown = shown | (own if limit is None else own & (F.col("place") <= limit))
-        fields = F.struct(F.col("value").alias(column), "count")
-        row = F.when(own, F.to_json(fields, {"ignoreNullFields": "false"})).otherwise(row)
-    ranked = counts.withColumn("place", place).filter(shown).withColumn("row", row)
-    by_metric = ranked.groupBy("metric").agg(
-        F.array_sort(F.collect_list(F.struct("place", "row"))).alias("listed"),
-        F.sum("count").alias("total"),
+    counts = materialize(counts, "metric-counts")
+    flags = counts.filter("metric = 'is_banned'").agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.when(F.col("value") == "true", F.col("count"))), F.lit(0)).alias("banned"),
     )
-    names = [(1, "success_vs_failure", "is_banned"), (2, "banned_requests", "is_banned")]
-    names += [(position, name, column) for position, name, column, _ in grouped]
-    report = logs.sparkSession.createDataFrame(names, "position int, name string, metric string")
     failures = failed.agg(F.count("*")).scalar()
-    total, banned = (F.coalesce(name, F.lit(0)) for name in ("total", "banned"))
-    compared = F.to_json(F.struct((total - failures).alias("successful"), failures.alias("unsuccessful")))
-    listed = F.array_join(F.transform("listed", lambda x: x["row"]), ",")
-    rows = (
-        F.when(F.col("position") == 1, compared)
-        .when(F.col("position") == 2, F.to_json(F.struct(banned.alias("banned_requests"))))
-        .otherwise(F.coalesce(listed, F.lit("")))
+    compared = F.to_json(F.struct((F.col("total") - failures).alias("successful"), failures.alias("unsuccessful")))
+    banned = F.to_json(F.struct(F.col("banned").alias("banned_requests")))
+
+    # Name and position of each result, its column, and how many rows it shows.
+    grouped = [(3, "male_vs_female", "gender", None), (4, "top_5_countries", "country", 5),
+               (5, "top_age_group", "age_group", 1), (6, "top_income_group", "income", 1)]
+    report = flags.select(
+        F.inline(F.array(_line(1, "success_vs_failure", compared), _line(2, "banned_requests", banned)))
     )
-    return (
-        F.broadcast(report).join(by_metric, "metric", "left")
-        .select("position", F.col("name").alias("metric"), F.concat(F.lit("["), rows, F.lit("]")).alias("rows"))
+    for position, name, column, limit in grouped:
+        own = counts.filter(F.col("metric") == column)
+        if limit is not None:
+            own = own.orderBy(F.desc("count"), "value").limit(limit)
+        row = F.to_json(F.struct(F.col("value").alias(column), "count"), {"ignoreNullFields": "false"})
+        place = F.struct(-F.col("count"), F.col("value").isNotNull(), "value", row.alias("row"))
+        listed = own.agg(F.array_sort(F.collect_list(place)).alias("listed"))
+        rows = F.array_join(F.transform("listed", lambda x: x["row"]), ",")
+        report = report.unionByName(listed.select(F.inline(F.array(_line(position, name, rows)))))
+    return report
+
+
+def _line(position: int, name: str, rows: Column) -> Column:
+    return F.struct(
+        F.lit(position).alias("position"), F.lit(name).alias("metric"), F.concat(F.lit("["), rows, F.lit("]")).alias("rows")
     )
 
 

@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from pagetrail import adapters
 from pagetrail.adapters import duckdb, web_pages
-from pagetrail.functions import text
 from pagetrail.operators import graph, pages
-from pagetrail.session import scratch_path
+from pagetrail.session import materialize
 from pagetrail.sources import corpus
 
 FIRST_N = 25
 
 
-def _exported(spark: SparkSession, sf_dir: str) -> str:
-    """The corpus as a folder of HTML files."""
-    folder = scratch_path(spark, "corpus")
-    corpus.write_corpus(web_pages(spark, sf_dir), folder)
-    return folder
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as the scan of a folder gives it: (path, content binary). Every tenth file has two bytes that are no UTF-8, and
+    some files could not be read."""
+    raw = F.encode("content", "UTF-8")
+    damaged = F.concat(F.unhex(F.lit("FF")), raw, F.unhex(F.lit("C3")))
+    content = F.when(F.col("file_id") % 25 == 7, F.lit(None)).when(F.col("file_id") % 10 == 0, damaged).otherwise(raw)
+    return web_pages(spark, sf_dir).select("path", content.alias("content"))
 
 
 def _listing(scanned: DataFrame) -> DataFrame:
@@ -27,15 +28,30 @@ def _listing(scanned: DataFrame) -> DataFrame:
 
 
 def corpus_scan(spark, sf_dir):
-    return _listing(corpus.corpus_scan(spark, _exported(spark, sf_dir)))
+    return _listing(corpus.kept_pages(corpus.pages_of(_files(spark, sf_dir))))
+
+
+def corpus_scan_skip(spark, sf_dir):
+    return _listing(corpus.kept_pages(corpus.pages_of(_files(spark, sf_dir)), "skip"))
 
 
 def corpus_scan_numeric(spark, sf_dir):
-    return _listing(corpus.corpus_scan_numeric(spark, _exported(spark, sf_dir)))
+    return _listing(corpus.numbered(_files(spark, sf_dir)))
 
 
 def corpus_first_n(spark, sf_dir):
-    return _listing(corpus.corpus_first_n(spark, _exported(spark, sf_dir), FIRST_N))
+    return _listing(corpus.kept_pages(corpus.pages_of(corpus.first_rows(_files(spark, sf_dir), FIRST_N))))
+
+
+def corpus_outcomes(spark, sf_dir):
+    """What became of each file, with what the reading job saw on its way."""
+    files = _files(spark, sf_dir)
+    read, seen = corpus.observed(corpus.pages_of(files))
+    read = materialize(read.select("path", "bytes", "damaged"), "read-files")
+    listed = web_pages(spark, sf_dir).select("path", F.octet_length("content").cast("bigint").alias("bytes"))
+    seen = seen.get
+    outcomes = corpus.file_outcomes(listed, read)
+    return outcomes.withColumns({"files_read": F.lit(seen["files"]), "files_damaged": F.lit(seen["damaged"])})
 
 
 def corpus_run_metrics(spark, sf_dir):
@@ -94,7 +110,8 @@ def link_edges(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        corpus_scan, corpus_scan_numeric, corpus_first_n, corpus_run_metrics, extract_links, extract_links_numeric,
+        corpus_scan, corpus_scan_skip, corpus_scan_numeric, corpus_first_n, corpus_outcomes, corpus_run_metrics, extract_links,
+        extract_links_numeric,
         incoming_counts, outgoing_counts, top_incoming, top_outgoing, page_tokens, page_bigrams, bigram_counts,
         top_bigrams, format_top_links, link_edges,
     )
@@ -110,14 +127,22 @@ _INCOMING = "SELECT target AS file_id, COUNT(*) AS incoming FROM links GROUP BY
 _OUTGOING = """SELECT file_id, CAST(SUM(len(regexp_extract_all(content, '(?i)HREF="([0-9]+)\\.html"', 1))) AS BIGINT) AS outgoing
     FROM web_pages GROUP BY 1"""
 _BIGRAMS = "SELECT bigram, COUNT(*) AS occurrences FROM pairs GROUP BY 1"
-_SCAN = "SELECT {id} AS file_id, CAST(length(content) AS BIGINT) AS chars, content FROM web_pages"
+_SCAN = "SELECT {id} AS file_id, CAST(length(content) AS BIGINT) AS chars, content FROM {source}"
+_READ = "(SELECT * FROM web_pages WHERE file_id % 25 <> 7)"
+_WHOLE = "(SELECT * FROM web_pages WHERE file_id % 25 <> 7 AND file_id % 10 <> 0)"
 
 ORACLE = {
-    "corpus_scan": duckdb(_SCAN.format(id="CAST(file_id AS VARCHAR)"), "web_pages"),
-    "corpus_scan_numeric": duckdb(_SCAN.format(id="file_id"), "web_pages"),
+    "corpus_scan": duckdb(_SCAN.format(id="CAST(file_id AS VARCHAR)", source=_READ), "web_pages"),
+    "corpus_scan_skip": duckdb(_SCAN.format(id="CAST(file_id AS VARCHAR)", source=_WHOLE), "web_pages"),
+    "corpus_scan_numeric": duckdb(_SCAN.format(id="file_id", source=_WHOLE), "web_pages"),
     "corpus_first_n": duckdb(
-        _SCAN.format(id="CAST(file_id AS VARCHAR)") + f" ORDER BY path LIMIT {FIRST_N}", "web_pages"
-    ),
+        f"""SELECT CAST(file_id AS VARCHAR) AS file_id, CAST(length(content) AS BIGINT) AS chars, content
+            FROM (SELECT * FROM web_pages ORDER BY path LIMIT {FIRST_N}) WHERE file_id % 25 <> 7""", "web_pages"),
+    "corpus_outcomes": duckdb(
+        """SELECT path, CAST(strlen(content) AS BIGINT) AS bytes, CASE WHEN file_id % 25 = 7 THEN 'unreadable'
+             WHEN file_id % 10 = 0 THEN 'repaired' ELSE 'read' END AS outcome,
+             COUNT(*) FILTER (file_id % 25 <> 7) OVER () AS files_read,
+             COUNT(*) FILTER (file_id % 25 <> 7 AND file_id % 10 = 0) OVER () AS files_damaged FROM web_pages""", "web_pages"),
     "corpus_run_metrics": duckdb(
         """SELECT COUNT(*) AS files, CAST(SUM(length(content)) AS BIGINT) AS chars,
            (SELECT COUNT(*) FROM links) AS links, (SELECT CAST(SUM(len(words)) AS BIGINT) FROM tokens) AS words

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagetrail import adapters
 from pagetrail.adapters import duckdb, failover_markers, probe_results, table
-from pagetrail.functions.probes import probe_url
+from pagetrail.functions.probes import probe_url, zone_of_metadata
 from pagetrail.operators import probes as ops
 from pagetrail.session import scratch_path
 from pagetrail.sources import probes as sources
@@ -75,11 +75,19 @@ def normalize_probe_url(spark, sf_dir):
     return targets.select("page_id", probe_url(F.col("server"), F.col("path")).alias("url"))
 
 
+def metadata_zones(spark, sf_dir):
+    """Requests per zone of the instance that answers them, from the instance's metadata path."""
+    user, regions = F.col("user_id").cast("string"), F.array(*map(F.lit, ("west1-a", "west1-b", "east4-c")))
+    named = F.concat(F.lit("projects/"), user, F.lit("/zones/us-"), F.get(regions, (F.col("user_id") % 3).cast("int")), F.lit(" "))
+    zone = F.when(F.col("user_id") % 5 == 4, F.lit(None)).when(F.col("user_id") % 5 == 3, F.lit("projects/zones/")).otherwise(named)
+    return table(spark, sf_dir, "events").groupBy(zone_of_metadata(zone).alias("zone")).agg(F.count("*").alias("requests"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         probe_scan, parse_probe_log, probe_summary, zone_distribution, error_counts, zone_timeline, failover_phases,
-        timing_summary, normalize_probe_url,
+        timing_summary, normalize_probe_url, metadata_zones,
     )
 }
 QUERIES["failover_phases_table"] = failover_markers_join
@@ -128,4 +136,6 @@ ORACLE = {
     "normalize_probe_url": duckdb(
         r"""SELECT page_id, rtrim(CASE WHEN regexp_matches(server, '^https?://') THEN server ELSE 'http://' || server END, '/')
             || '/' || ltrim(trim(path), '/') AS url FROM probe_targets""", "probe_targets"),
+    "metadata_zones": """SELECT CASE WHEN user_id % 5 >= 3 THEN 'unknown' WHEN user_id % 3 = 0 THEN 'us-west1-a'
+        WHEN user_id % 3 = 1 THEN 'us-west1-b' ELSE 'us-east4-c' END AS zone, COUNT(*) AS requests FROM events GROUP BY 1""",
 }

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pagetrail.adapters import duckdb, request_logs
 from pagetrail.operators import star as ops
 from pagetrail.plans.requests import FAILED_LOG_SQL, REQUEST_LOG_SQL, ROUTED_CTES, build_failed_log, build_request_log
+from pagetrail.session import scratch_path
+from pagetrail.sources import tables
 
 
 def star_of(spark, sf_dir):
@@ -71,11 +75,34 @@ def star_denormalize(spark, sf_dir):
     return ops.denormalize(star_of(spark, sf_dir))
 
 
+def star_collated(spark, sf_dir):
+    """The star of a log that spells every country, gender and income in three ways, re-joined."""
+    logs = request_logs(spark, sf_dir).withColumns({name: _spelled(name) for name in ("country", "gender", "income")})
+    return ops.denormalize(ops.build_star(logs, build_failed_log(spark, sf_dir), collation=ops.CASE_AND_ACCENT_BLIND))
+
+
+def _spelled(name):
+    text = F.col(name)
+    return F.when(F.col("id") % 3 == 0, F.upper(text)).when(F.col("id") % 3 == 1, F.translate(text, "ae", "áé")).otherwise(text)
+
+
+def ip_upsert_partial(spark, sf_dir):
+    """The IPs of the log in a table by key hash, of which ten are replaced or added; rows and rewritten folders."""
+    logs = request_logs(spark, sf_dir)
+    path = scratch_path(spark, "ip-table")
+    stored = ops.modal_country(logs)
+    tables.write_keyed(stored, path, ["client_ip"])
+    number = F.concat(F.lit("10.0.0."), F.col("id").cast("string"))
+    changed = spark.range(60, 70).select(number.alias("client_ip"), F.lit("Chile").alias("country_name"))
+    folders = len(tables.upsert_keyed(changed, path, ["client_ip"]))
+    return tables.read_keyed(spark, path).withColumn("few_folders", F.lit(folders <= 10))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         dim_countries, dim_ip_addresses, dim_demographics, merge_dimension, upsert_ip_addresses, fact_request_events,
-        fact_failed_events, ip_conflicts, star_row_counts, star_denormalize,
+        fact_failed_events, ip_conflicts, star_row_counts, star_denormalize, star_collated, ip_upsert_partial,
     )
 }
 
@@ -106,6 +133,13 @@ STAR_CTES = {"ips": _ips("request_logs"), "demographics": _demographics("request
 DENORMALIZED_SQL = """SELECT event_id, client_ip, country_name AS country, gender, age, income, is_banned, time_of_day,
     requested_file, request_time FROM facts JOIN ips USING (client_ip)"""
 
+_SPELLED = "SELECT * REPLACE (" + ", ".join(
+    f"CASE id % 3 WHEN 0 THEN upper({name}) WHEN 1 THEN translate({name}, 'ae', 'áé') ELSE {name} END AS {name}"
+    for name in ("country", "gender", "income")) + ") FROM request_logs"
+_KEPT = f"""SELECT id, {_IP} AS client_ip, age, is_banned, {_TIME} AS time_of_day, COALESCE(requested_file, '') AS requested_file, request_time,
+    {_COUNTRY} AS country_, {_GENDER} AS gender_, {_INCOME} AS income_, lower(strip_accents({_COUNTRY})) AS country,
+    lower(strip_accents({_GENDER})) AS gender, lower(strip_accents({_INCOME})) AS income FROM spelled"""
+
 ORACLE = {
     "dim_countries": duckdb(_COUNTRIES, "request_logs"),
     "dim_ip_addresses": duckdb(_ips("request_logs"), "request_logs"),
@@ -133,4 +167,20 @@ ORACLE = {
            UNION ALL SELECT 'failed_request_events', COUNT(*) FROM failed""",
         "request_logs", "http_requests", **ROUTED_CTES, failed=FAILED_LOG_SQL, countries=_COUNTRIES, **STAR_CTES),
     "star_denormalize": duckdb(DENORMALIZED_SQL, "request_logs", **STAR_CTES),
+    "star_collated": duckdb(
+        """SELECT id AS event_id, client_ip, c.shown AS country, g.shown AS gender, age, i.shown AS income, is_banned, time_of_day,
+             requested_file, request_time
+           FROM kept k JOIN ips USING (client_ip) JOIN names c ON c.kind = 'c' AND c.folded = ips.folded
+           JOIN names g ON g.kind = 'g' AND g.folded = k.gender AND g.age IS NOT DISTINCT FROM k.age AND g.other = k.income
+           JOIN names i ON i.kind = 'i' AND i.folded = k.income AND i.age IS NOT DISTINCT FROM k.age AND i.other = k.gender""",
+        "request_logs", spelled=_SPELLED, kept=_KEPT,
+        ips="""SELECT client_ip, folded FROM (SELECT client_ip, country AS folded, COUNT(*) AS n, MIN(country_) AS shown FROM kept GROUP BY 1, 2)
+               QUALIFY ROW_NUMBER() OVER (PARTITION BY client_ip ORDER BY n DESC, shown) = 1""",
+        names="""SELECT 'c' AS kind, country AS folded, NULL AS age, NULL AS other, MIN(country_) AS shown FROM kept GROUP BY 2
+                 UNION ALL SELECT 'g', gender, age, income, MIN(gender_) FROM kept GROUP BY 2, 3, 4
+                 UNION ALL SELECT 'i', income, age, gender, MIN(income_) FROM kept GROUP BY 2, 3, 4"""),
+    "ip_upsert_partial": duckdb(
+        """SELECT client_ip, country_name, TRUE AS few_folders FROM ips WHERE client_ip NOT IN (SELECT client_ip FROM changed)
+           UNION ALL SELECT client_ip, 'Chile', TRUE FROM changed""",
+        "request_logs", ips=_ips("request_logs"), changed="SELECT '10.0.0.' || i AS client_ip FROM range(60, 70) r(i)"),
 }

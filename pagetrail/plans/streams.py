@@ -14,7 +14,8 @@ from pagetrail.plans.requests import (
 )
 from pagetrail.plans.stats import AGE_GROUP_SQL
 from pagetrail.session import scratch_path
-from pagetrail.streaming import forbidden, logs, runs, stats
+from pagetrail.sources import messages
+from pagetrail.streaming import consumer, forbidden, logs, runs, stats
 
 
 def _event_stream(spark, sf_dir):
@@ -42,9 +43,9 @@ def failed_log_stream(spark, sf_dir):
 
 
 def stats_stream(spark, sf_dir):
-    checkpoint = scratch_path(spark, "stats-checkpoint")
-    runs.advance_state(stats.running_counts(adapters.as_request_logs(_event_stream(spark, sf_dir))), checkpoint)
-    return stats.current_counts(spark, checkpoint)
+    path, checkpoint = scratch_path(spark, "stats-counts"), scratch_path(spark, "stats-checkpoint")
+    stats.keep_counts(adapters.as_request_logs(_event_stream(spark, sf_dir)), path, checkpoint)
+    return stats.current_counts(spark, path)
 
 
 def zone_timeline_stream(spark, sf_dir):
@@ -60,15 +61,29 @@ def redelivery_stream(spark, sf_dir):
     moment = F.col("ts").cast("timestamp").alias("ts")
     refused = forbidden_events(requests).select("request_id", moment, F.encode("message", "UTF-8").alias("value"))
     delivered = refused.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
-    messages = forbidden.received_messages(delivered)
-    once = runs.appended(forbidden.drop_redelivered(messages, "request_id", "ts", "1 minute"), "messages")
+    received = forbidden.received_messages(delivered)
+    once = runs.appended(forbidden.drop_redelivered(received, "request_id", "ts", "1 minute"), "messages")
     return once.withColumn("ts", F.col("ts").cast(WALL_CLOCK))
 
 
+def message_consumer(spark, sf_dir):
+    """Messages of refused requests from a queue. The consumer is stopped after the first published part and started again."""
+    queue, output, checkpoint = (scratch_path(spark, f"queue-{name}") for name in ("messages", "output", "checkpoint"))
+    refused = forbidden_events(adapters.as_http_requests(table(spark, sf_dir, "events")))
+    sent = refused.select(
+        F.col("request_id").alias("message_id"), F.col("ts").cast("timestamp").alias("published"),
+        F.encode("message", "UTF-8").alias("value"),
+    )
+    for part in (0, 1):
+        messages.publish(sent.filter(F.col("message_id") % 2 == part), queue)
+        consumer.consume(spark, queue, output, checkpoint)
+    return consumer.consumed(spark, output).withColumn("published", F.col("published").cast(WALL_CLOCK))
+
+
 QUERIES = {
     f.__name__: f
     for f in (forbidden_stream, request_log_stream, failed_log_stream, stats_stream, zone_timeline_stream,
-              redelivery_stream)
+              redelivery_stream, message_consumer)
 }
 
 
@@ -94,4 +109,7 @@ ORACLE = {
     "redelivery_stream": duckdb(
         f"SELECT request_id, ts, message AS value FROM ({_forbidden('v5', _FORBIDDEN_V5)})", "http_requests",
         routed=_routed("v5")),
+    "message_consumer": duckdb(
+        f"SELECT request_id AS message_id, ts AS published, message AS value FROM ({_forbidden('v5', _FORBIDDEN_V5)})", "http_requests",
+        routed=_routed("v5")),
 }

@@ -32,9 +32,13 @@ def build_session(app_name: str = "pagetrail", master: str | None = None, **conf
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: what the cluster names in ``spark.checkpoint.dir``, else a folder of the
-    session's warehouse, which has to be shared as well."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    """The folder every executor can reach: what the cluster names in ``spark.checkpoint.dir``. Where all tasks run in the
+    driver's own process, a folder of its warehouse serves as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return root.rstrip("/")
 
 
@@ -61,17 +65,18 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table below the shared folder that nothing reads any more."""
     if not path.startswith(f"{shared_root(spark)}/pagetrail/"):
         raise ValueError(f"{path} is not a scratch table")
-    target, store = _hadoop_path(spark, path)
+    target, store = hadoop_path(spark, path)
     store.delete(target, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme and host Spark would use for it."""
-    target, store = _hadoop_path(spark, path)
+    target, store = hadoop_path(spark, path)
     return store.makeQualified(target).toString()
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and the file system it is on, as objects of the JVM."""
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(context._jsc.hadoopConfiguration())

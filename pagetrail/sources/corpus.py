@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrail.functions import text
-from pagetrail.session import qualified
 
 
 def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -22,62 +18,100 @@ def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def pages_of(files: DataFrame) -> DataFrame:
+    """(path, file_id, content, bytes, damaged) of files (path, content binary); undecodable bytes are removed where
+    ``damaged``. Files without content could not be read and are left out."""
+    raw = F.col("content")
+    read = files.filter(raw.isNotNull()).withColumn("damaged", ~F.is_valid_utf8(raw.cast("string")))
+    return read.select(
+        "path", text.file_id(F.col("path")).alias("file_id"), text.drop_undecodable(raw).alias("content"),
+        F.octet_length(raw).cast("bigint").alias("bytes"), "damaged",
+    )
+
+
+def kept_pages(pages: DataFrame, on_bad_utf8: str = "drop") -> DataFrame:
+    """Pages as their text allows: ``"drop"`` keeps damaged ones without the undecodable bytes, ``"skip"`` leaves them out."""
+    if on_bad_utf8 not in ("drop", "skip"):
+        raise ValueError(f"on_bad_utf8 must be 'drop' or 'skip', not {on_bad_utf8!r}")
+    return pages.filter(~F.col("damaged")) if on_bad_utf8 == "skip" else pages
+
+
+def numbered(files: DataFrame) -> DataFrame:
+    """(path, file_id, content) of undamaged files whose name ends in ``<number>.html``, with that number as file_id."""
+    named = files.filter(text.numeric_file_id(F.col("path")).isNotNull())
+    pages = kept_pages(pages_of(named), "skip")
+    return pages.select("path", text.numeric_file_id(F.col("path")).alias("file_id"), "content")
+
+
 def corpus_scan(spark: SparkSession, paths: str | list[str], on_bad_utf8: str = "drop") -> DataFrame:
     """One row per ``*.html`` file: path, file_id, content.
 
     ``on_bad_utf8="drop"`` removes undecodable bytes; ``"skip"`` leaves out files that have any.
     """
-    return _scanned(_files(spark, paths), on_bad_utf8)
-
-
-def _scanned(files: DataFrame, on_bad_utf8: str) -> DataFrame:
-    return _decode(files, on_bad_utf8).select("path", text.file_id(F.col("path")).alias("file_id"), "content")
+    return kept_pages(pages_of(_files(spark, paths)), on_bad_utf8).select("path", "file_id", "content")
 
 
 def corpus_scan_numeric(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files whose name ends in ``<number>.html``, with that number as file_id; others are left out."""
-    numbered = _files(spark, paths).withColumn("file_id", text.numeric_file_id(F.col("path")))
-    return _decode(numbered.filter("file_id IS NOT NULL"), "skip").select("path", "file_id", "content")
+    """``numbered`` over the HTML files of a folder; others are left out unopened."""
+    return numbered(_files(spark, paths))
 
 
-def _decode(files: DataFrame, on_bad_utf8: str) -> DataFrame:
-    raw = F.col("content")
-    if on_bad_utf8 == "drop":
-        return files.withColumn("content", text.drop_undecodable(raw))
-    if on_bad_utf8 == "skip":
-        return files.withColumn("content", raw.cast("string")).filter(F.is_valid_utf8("content"))
-    raise ValueError(f"on_bad_utf8 must be 'drop' or 'skip', not {on_bad_utf8!r}")
-
-
-def corpus_first_n(spark: SparkSession, paths: str | list[str], n: int | None, on_bad_utf8: str = "drop") -> DataFrame:
+def first_files(spark: SparkSession, paths: str | list[str], n: int | None) -> DataFrame:
     """The first ``n`` files by path; all of them if ``n`` is None or not positive.
 
     The listing gives the last of the wanted paths; files behind it are left out before any file is opened.
     """
     if n is None or n <= 0:
-        return corpus_scan(spark, paths, on_bad_utf8)
+        return _files(spark, paths)
     location = F.col("_metadata.file_path")
     last = _files(spark, paths).select(location.alias("at")).orderBy("at").limit(n).agg(F.max("at")).first()[0]
     require(last is not None, f"no HTML files under {paths}")
-    return _scanned(_files(spark, paths).filter(location <= last), on_bad_utf8)
+    return _files(spark, paths).filter(location <= last)
+
+
+def corpus_first_n(spark: SparkSession, paths: str | list[str], n: int | None, on_bad_utf8: str = "drop") -> DataFrame:
+    """``corpus_scan`` of the first ``n`` files by path."""
+    return kept_pages(pages_of(first_files(spark, paths, n)), on_bad_utf8).select("path", "file_id", "content")
 
 
 def compacted(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, file_id, content, bytes, damaged) of HTML files, undecodable bytes removed where ``damaged``."""
-    files = _files(spark, paths).withColumn("damaged", ~F.is_valid_utf8(F.col("content").cast("string")))
-    return _decode(files, "drop").select(
-        "path", text.file_id(F.col("path")).alias("file_id"), "content", F.col("length").alias("bytes"), "damaged"
-    )
+    """``pages_of`` all HTML files."""
+    return pages_of(_files(spark, paths))
+
+
+def first_rows(rows: DataFrame, n: int | None) -> DataFrame:
+    """As ``first_files`` for a table with a ``path``."""
+    if n is None or n <= 0:
+        return rows
+    last = rows.select("path").orderBy("path").limit(n).agg(F.max("path")).first()[0]
+    return rows.filter(F.col("path") <= last)
 
 
 def table_first_n(pages: DataFrame, n: int | None, on_bad_utf8: str = "drop") -> DataFrame:
     """As ``corpus_first_n`` for a table written from ``compacted``."""
-    if n is not None and n > 0:
-        last = pages.select("path").orderBy("path").limit(n).agg(F.max("path")).first()[0]
-        pages = pages.filter(F.col("path") <= last)
-    if on_bad_utf8 not in ("drop", "skip"):
-        raise ValueError(f"on_bad_utf8 must be 'drop' or 'skip', not {on_bad_utf8!r}")
-    return pages.filter(~F.col("damaged")) if on_bad_utf8 == "skip" else pages
+    return kept_pages(first_rows(pages, n), on_bad_utf8)
+
+
+def listing(spark: SparkSession, paths: str | list[str], n: int | None = None) -> DataFrame:
+    """(path, bytes) of the first ``n`` HTML files, unopened."""
+    return first_files(spark, paths, n).select("path", F.col("length").alias("bytes"))
+
+
+def file_outcomes(listed: DataFrame, pages: DataFrame, on_bad_utf8: str = "drop") -> DataFrame:
+    """(path, bytes, outcome) for each file of ``listed`` (path, bytes): ``read``, ``repaired`` or ``skipped`` where it was damaged, and
+    ``unreadable`` where ``pages`` (path, damaged), written before, has no row of it."""
+    damaged = F.lit("skipped" if on_bad_utf8 == "skip" else "repaired")
+    outcome = F.when(F.col("damaged").isNull(), "unreadable").when(F.col("damaged"), damaged).otherwise("read")
+    return listed.join(pages.select("path", "damaged"), "path", "left").select("path", "bytes", outcome.alias("outcome"))
+
+
+def observed(pages: DataFrame, name: str = "pages") -> tuple[DataFrame, Observation]:
+    """``pages`` and what the job that reads them sees on its way: files, bytes and damaged files."""
+    seen = Observation(name)
+    counts = (
+        F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count_if("damaged").alias("damaged")
+    )
+    return pages.observe(seen, *counts), seen
 
 
 def is_table(spark: SparkSession, path: str) -> bool:
@@ -103,30 +137,3 @@ def file_totals(spark: SparkSession, paths: str | list[str]) -> dict[str, int]:
 def require(condition: bool, message: str) -> None:
     if not condition:
         raise ValueError(message)
-
-
-def write_corpus(pages: DataFrame, directory: str) -> int:
-    """Write (file_id, content) rows as ``<directory>/<file_id>.html``; returns the number of files.
-
-    Each task writes its own rows. A repeated task writes the same bytes under the same names. The folder must be on
-    storage every task reaches under its qualified name. Ids that repeat would share a file and are refused.
-    """
-    repeated = pages.groupBy("file_id").count().filter("count > 1")
-    require(repeated.isEmpty(), "several pages have one file_id")
-    target = qualified(pages.sparkSession, directory).replace("s3a://", "s3://", 1)
-    if target.startswith("file:"):
-        target = "/" + target.removeprefix("file:").lstrip("/")
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(target) if "://" in target else (fs.LocalFileSystem(), target)
-        store.create_dir(root, recursive=True)
-        for batch in batches:
-            for name, content in zip(batch["file_id"], batch["content"], strict=True):
-                with store.open_output_stream(f"{root}/{name}.html") as out:
-                    out.write(content)
-            yield pd.DataFrame({"files": [len(batch)]})
-
-    rows = pages.select(F.col("file_id").cast("string"), F.col("content").cast("binary"))
-    return rows.mapInPandas(write, "files bigint").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]

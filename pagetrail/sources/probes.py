@@ -12,9 +12,14 @@ PROBE_SCHEMA = (
 )
 
 # The printed forms of a probe and of an experiment marker.
-ANSWERED = r"^(\S+) request=(\d+) status=(\d+) zone=(\S*) latency_ms=([\d.]+) path=(.*)$"
-UNANSWERED = r"^(\S+) request=(\d+) error=(\S+) latency_ms=([\d.]+) path=(.*?) detail=(.*)$"
-MARKER = r"^(MARKER_T0_STOP|MARKER_T0_START|EXPERIMENT_START|EXPERIMENT_END) (\S+)$"
+ANSWERED = r"status=(\d+) zone=(\S*) latency_ms=([\d.]+) path=(.*)"
+UNANSWERED = r"error=(\S+) latency_ms=([\d.]+) path=(.*?) detail=(.*)"
+PROBE = rf"(\S+) request=(\d+) (?:{ANSWERED}|{UNANSWERED})"
+MARKER = r"(MARKER_T0_STOP|MARKER_T0_START|EXPERIMENT_START|EXPERIMENT_END) (\S+)"
+LINE = rf"^(?:{PROBE}|{MARKER})$"
+_PARTS = ("at", "request", "status", "zone", "latency", "path", "error", "error_latency", "error_path", "detail", "marker", "marker_at")
+# Stands between the parts of a matched line; in a line it counts as a blank.
+_BETWEEN = "\u0001"
 
 
 def probe_scan(spark: SparkSession, paths: str | list[str], streaming: bool = False) -> DataFrame:
@@ -33,29 +38,26 @@ def probe_scan(spark: SparkSession, paths: str | list[str], streaming: bool = Fa
 
 
 def parse_probe_log(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Printed log lines as rows of kind ``probe`` or ``marker``; other lines are left out."""
-    line = F.col(column)
-
-    def part(pattern: str, group: int):
-        return F.nullif(F.regexp_extract(line, pattern, group), F.lit(""))
-
-    answered, unanswered = F.regexp_like(line, F.lit(ANSWERED)), F.regexp_like(line, F.lit(UNANSWERED))
-    marker = F.regexp_like(line, F.lit(MARKER))
-
-    def either(in_answer: int, in_error: int):
-        return F.when(answered, part(ANSWERED, in_answer)).when(unanswered, part(UNANSWERED, in_error))
-
-    return lines.filter(answered | unanswered | marker).select(
-        F.when(marker, F.lit("marker")).otherwise(F.lit("probe")).alias("kind"),
-        F.to_timestamp(F.coalesce(either(1, 1), part(MARKER, 2))).alias("ts"),
-        part(MARKER, 1).alias("marker"),
-        either(2, 2).cast("bigint").alias("request_id"),
-        F.when(answered, part(ANSWERED, 3)).cast("int").alias("status"),
-        F.when(answered, zone_label(part(ANSWERED, 4))).alias("zone"),
-        either(5, 4).cast("double").alias("latency_ms"),
-        either(6, 5).alias("path"),
-        F.when(unanswered, part(UNANSWERED, 3)).alias("error"),
-        F.when(unanswered, part(UNANSWERED, 6)).alias("detail"),
+    """Printed log lines as rows of kind ``probe`` or ``marker``; other lines are left out.
+
+    Each line is matched once, and the parts of the match become an array.
+    """
+    form = _BETWEEN.join(f"${i}" for i in range(1, len(_PARTS) + 1))
+    parts = F.split(F.regexp_replace(F.translate(F.col(column), _BETWEEN, " "), LINE, form), _BETWEEN)
+    matched = lines.select(parts.alias("parts")).filter(F.size("parts") == len(_PARTS))
+    named = matched.select(*(F.nullif(F.get("parts", F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(_PARTS)))
+    answered = F.col("status").isNotNull()
+    return named.select(
+        F.when(F.col("marker").isNotNull(), F.lit("marker")).otherwise(F.lit("probe")).alias("kind"),
+        F.to_timestamp(F.coalesce("at", "marker_at")).alias("ts"),
+        "marker",
+        F.col("request").cast("bigint").alias("request_id"),
+        F.col("status").cast("int").alias("status"),
+        F.when(answered, zone_label(F.col("zone"))).alias("zone"),
+        F.coalesce("latency", "error_latency").cast("double").alias("latency_ms"),
+        F.when(answered, F.col("path")).otherwise(F.col("error_path")).alias("path"),
+        "error",
+        "detail",
     )
 
 

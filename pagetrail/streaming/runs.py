@@ -27,20 +27,3 @@ def appended(stream: DataFrame, purpose: str) -> DataFrame:
     path, checkpoint = scratch_path(spark, purpose), scratch_path(spark, f"{purpose}-checkpoint")
     append_to_files(stream, path, checkpoint)
     return spark.read.schema(stream.schema).parquet(path)
-
-
-def advance_state(stream: DataFrame, checkpoint: str) -> None:
-    """Process everything available into the state of an aggregating query; no output is sent anywhere."""
-    (
-        stream.writeStream.format("noop")
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-
-
-def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """(key, value) of the running aggregate, read by executors from the query's state."""
-    return spark.read.format("statestore").load(checkpoint).select("key", "value")

@@ -51,15 +51,6 @@ def test_listing_reads_no_content(spark, folder):
     assert "ReadSchema: struct<path:string>" in plan
 
 
-def test_write_corpus_round_trip(spark, tmp_path, rows):
-    pages = spark.createDataFrame([(1, "é one"), (2, "two\n")], "file_id long, content string")
-    target = f"{tmp_path}/out"
-    assert corpus.write_corpus(pages, target) == 2
-    assert rows(corpus.corpus_scan(spark, target), "file_id", "content") == [("1", "é one"), ("2", "two\n")]
-    with pytest.raises(ValueError):
-        corpus.write_corpus(pages.unionByName(pages), f"{tmp_path}/twice")
-
-
 def read(spark, path):
     return [row.value for row in spark.read.text(path).collect()]
 
@@ -70,11 +61,42 @@ def test_corpus_report_job(spark, folder, tmp_path):
     assert read(spark, f"{out}/top_5_incoming") == ["File 1: 2 incoming links", "File 2: 2 incoming links"]
     assert read(spark, f"{out}/top_5_outgoing")[0] == "File 10: 2 outgoing links"
     assert read(spark, f"{out}/top_5_bigrams")[0] == "'one two': 2 occurrences"
-    assert "Files processed: 4" in read(spark, f"{out}/run")
+    assert {"Files processed: 4", "Files damaged: 1"} <= set(read(spark, f"{out}/run"))
     jobs.corpus_report(spark, folder, out, max_files=2)
     assert "(Subset of 4 files.)" in read(spark, f"{out}/run")
 
 
+@pytest.mark.parametrize(("mode", "fate", "processed"), [("drop", "repaired", 4), ("skip", "skipped", 3)])
+def test_outcome_of_each_file(spark, folder, tmp_path, mode, fate, processed):
+    for source, out in ((folder, f"{tmp_path}/files"), (f"{tmp_path}/table", f"{tmp_path}/rows")):
+        if source != folder:
+            jobs.compact_corpus(spark, folder, source)
+        jobs.corpus_report(spark, source, out, on_bad_utf8=mode)
+        rows = spark.read.option("header", True).csv(f"{out}/files").collect()
+        assert {r.path.rsplit("/", 1)[1]: r.outcome for r in rows} == {
+            "1.html": "read", "10.html": "read", "2.html": fate, "about.html": "read",
+        }
+        lines = read(spark, f"{out}/run")
+        assert f"Files processed: {processed}" in lines and ("Files skipped: 1" in lines) == (mode == "skip")
+
+
+def test_files_that_cannot_be_read(spark, rows):
+    files = spark.createDataFrame([("a/1.html", bytearray(b"x")), ("a/2.html", None)], "path string, content binary")
+    pages, seen = corpus.observed(corpus.pages_of(files))
+    assert pages.count() == 1 and seen.get == {"files": 1, "bytes": 1, "damaged": 0}
+    listed = spark.createDataFrame([("a/1.html", 1), ("a/2.html", 7)], "path string, bytes bigint")
+    assert rows(corpus.file_outcomes(listed, pages)) == [("a/1.html", 1, "read"), ("a/2.html", 7, "unreadable")]
+
+
+def test_summary_comes_from_the_reading_job(spark, folder, tmp_path, monkeypatch):
+    """Files are opened once: content is read by the job that writes the pages, and by no other."""
+    opened = []
+    before = corpus.pages_of
+    monkeypatch.setattr(corpus, "pages_of", lambda files: opened.append(1) or before(files))
+    jobs.corpus_report(spark, folder, f"{tmp_path}/once")
+    assert len(opened) == 1
+
+
 def test_page_rank_job(spark, folder, tmp_path):
     out = f"{tmp_path}/ranks"
     jobs.page_rank_report(spark, folder, out)

@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pagetrail.operators import graph
+from pagetrail.operators import graph, pagerank
 from pagetrail.operators.pagerank import page_rank, top_ranked
+from pagetrail.session import materialize
 
 TINY = [(0, 1), (0, 2), (1, 2), (2, 0), (3, 0), (3, 1), (3, 2)]
 
@@ -80,3 +81,33 @@ def test_degree_stats_interpolate(spark):
 def test_multi_links(spark, rows):
     links = spark.createDataFrame([(0, [1, 1, None])], "file_id long, targets array<long>")
     assert rows(graph.link_edges(links)) == [(0, 1, 2), (0, None, 1)]
+
+
+def test_a_step_neither_shuffles_nor_sorts_edges(spark):
+    nodes = spark.range(3000).withColumnRenamed("id", "node")
+    edges = spark.range(30_000).select((F.col("id") % 3000).alias("src"), (F.col("id") * 7 % 3000).alias("dst"))
+    edges = materialize(edges.groupBy("src", "dst").agg(F.count("*").alias("mult")), "edges")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = pagerank._Links(nodes, edges, 4 << 20, 1_000_000)
+        assert links.buckets == 4
+        state = materialize(graph.out_degree(nodes, edges).withColumn("pr", F.lit(1.0 / 3000)), "ranks")
+        with pagerank._setting(spark, pagerank._SORTED_BUCKETS, "true"):
+            flows = links._flow(links._light_edges, state.select("node", F.col("pr").alias("share")))
+            plan = flows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(node") == 1 and "hashpartitioning(src" not in plan
+        assert plan.count("Sort [node") == 1 and "Sort [src" not in plan and "Bucketed: true" in plan
+        assert flows.count() == edges.count()
+        links.release()
+        assert not spark.catalog.tableExists(links._table)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_buckets_follow_stored_bytes(spark):
+    nodes, edges = make(spark, range(4), TINY)
+    for stored, expected in ((1, 1), (3 << 20, 3), (pagerank.BUCKET_BYTES * 9, 9)):
+        links = pagerank._Links(nodes, edges, stored, 1_000_000)
+        links.release()
+        assert links.buckets == expected
