@@ -29,8 +29,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sequences of all documents with their bucket, batch and slot."""
-    return packing.pack(docs)
+    """The sequences of all documents, their token ids, bucket, batch and slot."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [

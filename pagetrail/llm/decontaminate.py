@@ -1,13 +1,15 @@
 """Operator 1: documents that hold passages of a benchmark, found by spaced seeds.
 
-A mask such as ``1101100101`` is laid over the words at every place of a text; the words under ``1`` are hashed, the others
+A mask such as ``1101101`` is laid over the words at every place of a text; the words under ``1`` are hashed, the others
 ignored, so a hit survives substitutions under ``0``. Hashes of the benchmark and of the documents are joined; around
 each hit the two word sequences are compared along its diagonal, and a substitution-tolerant overlap is accepted if
 
 * words equal on the diagonal make up ``item_share`` of the item, or
 * a stretch of at least ``stretch_words`` words has at most one different word in five.
 
-An item shorter than a mask gets a mask of its own length. Items without words match nothing.
+Masks are the lighter the shorter an item is, so that an overlap at the limit of acceptance is hit with odds of 0.99 and more
+wherever its substitutions are, and always if every third to tenth word is replaced. Items of fewer than ``SHORTEST`` words have to be
+there word for word. Items without words match nothing.
 """
 
 from __future__ import annotations
@@ -23,13 +25,23 @@ from pyspark.sql import types as T
 
 from pagetrail.llm.columns import put_back, set_aside
 from pagetrail.llm.textcodes import _OF_PLACE, keep_columns, mix, slices, word_codes
-
-MASKS = ("111111", "11011011", "1101001011", "10110100111")
+from pagetrail.session import materialize, remove_scratch, scratch_path
+
+SHORTEST = 8
+#: Masks by the least number of words of the items they are for.
+MASKS = (
+    (SHORTEST, ("111", "1101", "1011", "10101", "11001", "10011", "100101", "1010001")),
+    (12, ("1111", "11101", "11011", "110101", "101101", "1100101", "1001101", "10110001")),
+    (25, ("11111", "111101", "111011", "1101101", "1011011", "11010101", "110010011", "1010110001")),
+)
 ITEM_SHARE = 0.6
 STRETCH_WORDS = 13
-#: Words of the benchmark that one scan of the documents compares with; a larger benchmark is scanned for in blocks.
-BLOCK_WORDS = 2_000_000
+#: Words of the benchmark that one scan of the documents compares with; a larger benchmark is scanned for in blocks, one
+#: after the other. A word has up to eight seeds of 24 bytes.
+BLOCK_WORDS = 250_000
 _FILTER_BITS = 22
+#: Pairs of words that are compared at once.
+_PAIRS = 1 << 20
 
 SPAN = "array<struct<item_id:bigint,first_word:bigint,last_word:bigint,equal_words:bigint>>"
 
@@ -58,19 +70,15 @@ class _Seeds(NamedTuple):
     filled: np.ndarray
 
     @classmethod
-    def of(cls, ids: list[int], texts: list[str], masks: tuple[str, ...]) -> _Seeds:
+    def of(cls, ids: list[int], texts: list[str], masks: tuple[tuple[int, tuple[str, ...]], ...]) -> _Seeds:
         codes, offsets = word_codes(pa.array(texts, pa.string()))
-        widest = max(map(len, masks))
-        words = np.diff(offsets)
-        short = sorted({int(n) for n in words if 0 < n < widest})
-        every = [*masks, *("1" * n for n in short)]
+        every: dict[str, int] = {}
         hashes, item, place = [], [], []
-        for i, n in enumerate(words):
+        for i, n in enumerate(np.diff(offsets).tolist()):
             own = codes[offsets[i] : offsets[i + 1]]
-            for k, mask in enumerate(every):
-                if k >= len(masks) and len(mask) != n:
-                    continue
-                found = _mask_hashes(own, mask, k)
+            fitting = [found for least, found in masks if least <= n]
+            for mask in fitting[-1] if fitting else ("1" * n,) if n else ():
+                found = _mask_hashes(own, mask, every.setdefault(mask, len(every)))
                 hashes.append(found)
                 item.append(np.full(len(found), i))
                 place.append(np.arange(len(found)))
@@ -81,7 +89,7 @@ class _Seeds(NamedTuple):
         order = np.argsort(hashes, kind="stable")
         filled = np.zeros(1 << _FILTER_BITS, bool)
         filled[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-        return cls(np.asarray(ids), codes, offsets, every, hashes[order], item[order], place[order], filled)
+        return cls(np.asarray(ids), codes, offsets, list(every), hashes[order], item[order], place[order], filled)
 
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Items and diagonals (place in ``codes`` minus place in the item), each pair once."""
@@ -98,8 +106,28 @@ class _Seeds(NamedTuple):
             found.append(np.stack([self.item[seed], np.repeat(at, count) - self.place[seed]]))
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        item, diagonal = np.unique(np.concatenate(found, axis=1), axis=1)
-        return item, diagonal
+        item, diagonal = np.concatenate(found, axis=1)
+        wide = np.int64(len(codes) + len(self.codes) + 1)  # diagonals run from minus an item's words to the text's words
+        item, diagonal = np.divmod(np.unique(item * wide + diagonal + len(self.codes)), wide)
+        return item, diagonal - len(self.codes)
+
+    def equal_words(self, codes: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+        """Equal words on each whole diagonal, whatever texts it crosses."""
+        sizes = np.diff(self.offsets)[item]
+        ends = np.cumsum(sizes)
+        out = np.zeros(len(item), np.int64)
+        start = 0
+        while start < len(item):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _PAIRS, "right")))
+            size = sizes[start:stop]
+            first = np.cumsum(size) - size
+            step = np.arange(size.sum()) - np.repeat(first, size)
+            at = step + np.repeat(diagonal[start:stop], size)
+            inside = (at >= 0) & (at < len(codes))
+            same = inside & (codes[np.where(inside, at, 0)] == self.codes[step + np.repeat(self.offsets[item[start:stop]], size)])
+            out[start:stop] = np.add.reduceat(same.astype(np.int64), first)
+            start = stop
+        return out
 
 
 def _longest_stretch(equal: np.ndarray) -> tuple[int, int]:
@@ -118,6 +146,11 @@ def _overlaps(seeds: _Seeds, codes: np.ndarray, offsets: np.ndarray, item_share:
     """For each text the accepted overlaps, by place."""
     out: list[dict] = [{} for _ in range(len(offsets) - 1)]
     item, diagonal = seeds.hits(codes)
+    if len(item):
+        # what neither rule can accept goes before anything is looked at one by one
+        least = np.minimum(np.ceil(item_share * np.diff(seeds.offsets)[item] - 1e-9), -(-4 * stretch_words // 5))
+        promising = seeds.equal_words(codes, item, diagonal) >= least
+        item, diagonal = item[promising], diagonal[promising]
     for i, d in zip(item.tolist(), diagonal.tolist(), strict=True):
         own = seeds.codes[seeds.offsets[i] : seeds.offsets[i + 1]]
         # the diagonal may cross texts that stand next to each other here; each has its own part of it
@@ -147,7 +180,7 @@ def _overlaps(seeds: _Seeds, codes: np.ndarray, offsets: np.ndarray, item_share:
 def find_overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
-    masks: tuple[str, ...] = MASKS,
+    masks: tuple[tuple[int, tuple[str, ...]], ...] = MASKS,
     item_share: float = ITEM_SHARE,
     stretch_words: int = STRETCH_WORDS,
     block_words: int = BLOCK_WORDS,
@@ -156,8 +189,8 @@ def find_overlaps(
 
     ``first_word`` and ``last_word`` count the words of the document from 0. Null and empty texts have no overlaps;
     repeated rows are repeated; an overlap with two equal items names both. Null item ids are taken as -1. A column
-    named ``overlaps`` is replaced. The benchmark is read in blocks of about ``block_words`` words, which bounds what a
-    task holds of it; the rows pass all blocks in one scan and without a shuffle.
+    named ``overlaps`` is replaced. The benchmark is read in blocks of about ``block_words`` words. The rows pass a block in one
+    scan without a shuffle and are written before the next block, so that tasks hold one block at a time.
     """
     spark = docs.sparkSession
     docs = docs.drop("overlaps")
@@ -167,13 +200,20 @@ def find_overlaps(
     words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     blocks = max(1, -(-int(words) // block_words))
     held = docs.withColumn("overlaps", F.array().cast(SPAN))
+    written, scanned = None, False
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         if rows:
             rows.sort(key=lambda r: (r.item_id, r.text))
             seeds = _Seeds.of([r.item_id for r in rows], [r.text for r in rows], masks)
             seeds = spark.sparkContext.broadcast(tuple(seeds))
-            held = _scan(held, seeds, item_share, stretch_words)
+            if scanned:
+                path = scratch_path(spark, "overlaps")
+                held = materialize(held, "overlaps", path)
+                if written:
+                    remove_scratch(spark, written)
+                written = path
+            held, scanned = _scan(held, seeds, item_share, stretch_words), True
     return held
 
 

@@ -4,6 +4,9 @@ A page is cut into blocks at block-level tags. First pass, each block on its own
 
 * blocks in navigation, headers and footers of the page, sidebars, forms, notices, adverts, comments and hidden parts, or made
   of links for the most part, are boilerplate; so is everything outside an ``article`` or ``main`` element if there is one;
+* prose of an article may be linked as much as it likes: there links count only in lists, tables and short blocks that are
+  nothing but links;
+* a form around everything, or a wrapper of an article, doesn't stand apart if it holds half of the page's stop words or more;
 * long blocks with many stop words are content, long ones with few are boilerplate;
 * the others are ambiguous.
 
@@ -30,7 +33,7 @@ from pagetrail.llm.textcodes import slices
 
 SHORT, LONG = 70, 200
 FEW_STOP_WORDS, MANY_STOP_WORDS = 0.12, 0.2
-MOST_LINKS = 0.33
+MOST_LINKS, ALL_LINKS = 0.33, 0.95
 
 # Frequent function words of the languages that are expected.
 STOP_WORDS = frozenset(
@@ -64,8 +67,18 @@ APART_NAMES = (
     "tags teaser toc toolbar trending widget alert complementary contentinfo search alertdialog"
 )
 ARTICLE_NAMES = "articlebody article-body post-content entry-content article-content post-body"
+#: What stands apart even if it holds most of a page: these names, and hidden parts, menus and asides.
+FIRM_NAMES = "comment comments commentlist disqus reply replies respond nav navbar navigation menu menubar cookie cookies consent related"
+#: A first or last part of a name doesn't count next to these, as in has-sidebar or page-with-toc.
+DENIALS = "has no non not with without hide hidden"
+#: A first part of these counts only if all others are of the next line, as in ad-slot-2.
+AD = "ad ads adv advert"
+AD_PARTS = "slot slots box banner container unit wrapper wrap block space area zone top bottom left right side inner label leaderboard sticky"
+LISTS = "ul ol dl menu table"
 _RAW, _BLOCK, _VOID, _APART = (frozenset(x.split()) for x in (RAW, BLOCK, VOID, APART))
-_APART_NAMES, _ARTICLE_NAMES = frozenset(APART_NAMES.split()), frozenset(ARTICLE_NAMES.split())
+_APART_NAMES, _ARTICLE_NAMES, _FIRM_NAMES, _DENIALS, _AD, _AD_PARTS, _LISTS = (
+    frozenset(x.split()) for x in (APART_NAMES, ARTICLE_NAMES, FIRM_NAMES, DENIALS, AD, AD_PARTS, LISTS)
+)
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -75,6 +88,8 @@ _TAG = re.compile(
 _NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"(?<![\w-])(?:hidden(?![\w-])|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+_LINK = re.compile(r"</?a(?![\w:-])", re.I)
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCK))})(?![\w:-])", re.I)
 
 
 class Block(NamedTuple):
@@ -83,34 +98,65 @@ class Block(NamedTuple):
     article: int  # number of the article element that holds it, 0 for none
     apart: bool
     heading: bool
+    listed: bool  # in a list or table
+    wraps: tuple[int, ...] = ()  # the elements around it that stand apart unless they hold the article
+
 
+def _parts(names: str) -> Iterator[str]:
+    """What a class, id or role says: each name as a whole, and its first and last part unless they are denied."""
+    for name in names.lower().split():
+        yield name
+        parts = [p for p in re.split(r"[-_:]+", name) if p]
+        if len(parts) < 2 or parts[0] in _DENIALS:
+            continue
+        if parts[0] not in _AD or all(p in _AD_PARTS or p.isdigit() for p in parts[1:]):
+            yield parts[0]
+        if parts[-1].isdigit() and len(parts) > 2:
+            parts.pop()
+        if parts[-2] not in _DENIALS and parts[-1] not in _AD:
+            yield parts[-1]
 
-def _marks(name: str, rest: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element stands apart from the article, and whether it is an article."""
+
+def _marks(name: str, rest: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element stands apart from the article, whether that is undone if it turns out to hold the article, and
+    whether it is an article."""
     apart, article = name in _APART or (name == "header" and not in_article), name in ("article", "main")
+    firm = apart and name != "form"
     if "=" in rest or "hidden" in rest:
-        apart = apart or bool(_HIDDEN.search(rest))
+        firm = firm or bool(_HIDDEN.search(rest))
         for kind, *values in _NAMED.findall(rest):
-            names = "".join(values).lower().split()
-            article = article or (kind.lower() == "role" and "main" in names) or not _ARTICLE_NAMES.isdisjoint(names)
-            parts = {p for n in names for p in (n, *re.split(r"[-_:]+", n))}
-            apart = apart or not _APART_NAMES.isdisjoint(parts)
-    return apart and name not in ("html", "body", "article", "main"), article
+            names = "".join(values)
+            whole = names.lower().split()
+            article = article or (kind.lower() == "role" and "main" in whole) or not _ARTICLE_NAMES.isdisjoint(whole)
+            # ids inside an article name its sections
+            said = whole if kind.lower() == "id" and in_article else list(_parts(names))
+            apart = apart or not _APART_NAMES.isdisjoint(said)
+            firm = firm or not _FIRM_NAMES.isdisjoint(said)
+    apart = apart or firm
+    return apart and name not in ("html", "body", "article", "main"), not firm, article
+
+
+def _link_end(page: str, at: int) -> int:
+    """Where the link that begins here ends; 0 if another begins first or none ends."""
+    end = _LINK.search(page, at)
+    return end.start() if end and end[0].startswith("</") else 0
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, empty ones left out."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # name, apart, article
+    stack: list[tuple[str, bool, int, tuple[int, ...]]] = []  # name, apart, article, wraps
+    wrappers: set[int] = set()  # those that hold an article, or are forms
     parts: list[str] = []
-    linked, links, heading, articles, breaks = 0, 0, False, 0, 0
+    linked, link_end, links, heading, articles, breaks, wrapped = 0, 0, False, False, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked, heading
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, apart, article = stack[-1] if stack else ("", False, 0)
-            out.append(Block(text, min(linked, len(text)), article, apart, heading))
+            _, apart, article, wraps = stack[-1] if stack else ("", False, 0, ())
+            listed = any(x[0] in _LISTS for x in stack)
+            out.append(Block(text, min(linked, len(text)), article, apart, heading, listed, wraps))
         parts.clear()
         linked, heading = 0, False
 
@@ -135,7 +181,11 @@ def blocks(page: str) -> list[Block]:
         if name in _RAW and not closing:
             if not rest.endswith("/>") and name not in _VOID:
                 end = re.compile(rf"</{name}(?![\w-])[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if end is None and name not in ("script", "style"):
+                    end = _BLOCK_TAG.search(page, at)
+                    at = end.start() if end else len(page)
+                else:
+                    at = end.end() if end else len(page)
             parts.append(" ") if name in ("button", "select", "textarea") else None
             continue
         if name == "br":
@@ -145,11 +195,12 @@ def blocks(page: str) -> list[Block]:
                 flush()
             continue
         if name == "a":
-            links = 0 if closing else 1
+            links = not closing and "href" in rest.lower()
+            link_end = _link_end(page, at) if links else 0
             continue
         if name in _BLOCK:
             flush()
-            links = 0
+            links = links and at <= link_end  # a link goes on over blocks if it is closed
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
@@ -161,20 +212,41 @@ def blocks(page: str) -> list[Block]:
         if name in _BLOCK:
             if name == "p" and stack and stack[-1][0] == "p" or name == "li" and stack and stack[-1][0] == "li":
                 stack.pop()
-            _, outer, inside = stack[-1] if stack else ("", False, 0)
-            apart, article = _marks(name, rest, inside > 0)
+            _, outer, inside, wraps = stack[-1] if stack else ("", False, 0, ())
+            apart, loose, article = _marks(name, rest, inside > 0)
             if article and not inside and not (apart or outer):
                 articles += 1
                 inside = articles
-            stack.append((name, outer or apart, inside))
+                wrappers.update(wraps)
+            if apart and loose and not inside:
+                wrapped += 1
+                wraps, apart = (*wraps, wrapped), False
+                if name == "form":
+                    wrappers.add(wrapped)
+            stack.append((name, outer or apart, inside, wraps))
             heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
         elif "=" in rest and _marks(name, rest, True)[0]:
             # an inline element that stands apart is a block of its own
             flush()
-            _, outer, inside = stack[-1] if stack else ("", False, 0)
-            stack.append((name, True, inside))
+            _, outer, inside, wraps = stack[-1] if stack else ("", False, 0, ())
+            stack.append((name, True, inside, wraps))
     flush()
-    return out
+    return _settled(out, wrappers)
+
+
+def _settled(found: list[Block], wrappers: set[int]) -> list[Block]:
+    """``apart`` with the wrappers taken into account: those of ``wrappers`` that hold half of the stop words don't count."""
+    if not any(b.wraps for b in found):
+        return found
+    held: dict[int, int] = {}
+    total = 0
+    for b in found:
+        own = 0 if b.apart else sum(w in STOP_WORDS for w in _WORD.findall(b.text.lower()))
+        total += own
+        for wrap in b.wraps:
+            held[wrap] = held.get(wrap, 0) + own
+    free = {wrap for wrap in wrappers if held.get(wrap, 0) * 2 >= total}
+    return [b if not b.wraps else b._replace(apart=b.apart or not free.issuperset(b.wraps)) for b in found]
 
 
 def labels(found: list[Block]) -> list[bool]:
@@ -183,7 +255,9 @@ def labels(found: list[Block]) -> list[bool]:
     first: list[bool | None] = []
     for b in found:
         links = b.linked / len(b.text)
-        if b.apart or (has_article and not b.article) or links > MOST_LINKS:
+        if b.apart or (has_article and not b.article):
+            first.append(False)
+        elif links > MOST_LINKS and not (b.article and not b.listed and (links < ALL_LINKS or len(b.text) >= SHORT)):
             first.append(False)
         elif len(b.text) < SHORT:
             first.append(False if b.linked and not b.article else None)

@@ -1,12 +1,13 @@
 """Operator 3: batches of sequences in length buckets that waste least.
 
-1. Texts longer than ``max_length`` tokens become several sequences, so nothing is cut off.
+1. Texts are encoded whole by a tokenizer. Those of more than ``max_length`` tokens become several sequences, so nothing is cut off.
 2. Lengths of all sequences are counted; the histogram has at most ``max_length`` + 1 rows, whatever the corpus.
 3. Dynamic programming over the histogram finds the bucket boundaries with the smallest total padding.
 4. Within its bucket each sequence gets a place in a hash order, numbered without any task holding a bucket; as many
    sequences as fit into ``token_budget`` at the bucket's length form a batch, so only the last batch of a bucket is short.
 
-A text without tokens, null included, is one sequence of length 0. Repeated rows are sequences of their own.
+A text without tokens, null included, is one sequence of length 0. Repeated rows are sequences of their own. Of rows that a hash
+order can't tell apart (repeated or missing ids) any comes first. Columns other than doc_id and text aren't read.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetrail.llm.tokens import token_counts, token_ids, vocabulary_path
 from pagetrail.operators.ranking import hash_rank
 from pagetrail.session import materialize
 
@@ -24,11 +26,6 @@ TOKEN_BUDGET = 65_536
 _ROWS = 256
 
 
-def word_tokens(text: str = "text") -> Column:
-    """Words and single punctuation marks of a text; a stand-in for the counts of the tokenizer in use."""
-    return F.regexp_count(F.col(text), F.lit(r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"))
-
-
 def optimal_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
     """The at most ``buckets`` of the lengths that as upper bounds waste least; of equals those with the shortest buckets first."""
     order = np.argsort(lengths)
@@ -66,15 +63,32 @@ def pack(
     buckets: int = BUCKETS,
     token_budget: int = TOKEN_BUDGET,
     seed: int = 0,
+    vocabulary: str | None = None,
+    with_ids: bool = False,
 ) -> DataFrame:
     """One row per sequence of ``docs`` (doc_id, text and any other columns): doc_id, piece, first_token, n_tokens, bucket,
-    bucket_length, batch (unique with the bucket), slot (from 0) and padding. ``tokens`` is the number of tokens of a row."""
-    total = F.coalesce(word_tokens() if tokens is None else tokens, F.lit(0)).cast("bigint")
-    whole = docs.select("doc_id", total.alias("total"))
-    pieces = whole.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("total") / max_length) - 1, F.lit(0)).cast("int"))))
+    bucket_length, batch (unique with the bucket), slot (from 0) and padding.
+
+    Tokens are those of ``vocabulary`` (default: the installed one); ``with_ids`` adds ``token_ids``, what a batch is filled with.
+    ``tokens`` gives the number of tokens of a row instead.
+    """
+    if tokens is not None:
+        whole = docs.select("doc_id", F.coalesce(tokens, F.lit(0)).cast("bigint").alias("total"))
+    elif with_ids:
+        whole = token_ids(docs, vocabulary or vocabulary_path()).withColumn("total", F.size("token_ids").cast("bigint"))
+    else:
+        whole = token_counts(docs, vocabulary or vocabulary_path()).withColumnRenamed("n_tokens", "total")
+    carried = ["token_ids"] if with_ids and tokens is None else []
+    last = F.greatest(F.ceil(F.col("total") / max_length) - 1, F.lit(0)).cast("int")
+
+    def piece(number: Column) -> Column:
+        own = [F.slice("token_ids", number * max_length + 1, F.lit(max_length)).alias("token_ids")] if carried else []
+        return F.struct(number.alias("piece"), *own)
+
+    pieces = whole.select("doc_id", "total", F.inline(F.transform(F.sequence(F.lit(0), last), piece)))
     first = F.col("piece").cast("bigint") * max_length
     pieces = pieces.select(
-        "doc_id", "piece", first.alias("first_token"), F.least(F.col("total") - first, F.lit(max_length)).cast("int").alias("n_tokens")
+        "doc_id", "piece", first.alias("first_token"), F.least(F.col("total") - first, F.lit(max_length)).cast("int").alias("n_tokens"), *carried
     )
     pieces = materialize(pieces, "packing-pieces")
     histogram = pieces.groupBy("n_tokens").count().collect()  # at most max_length + 1 rows
@@ -96,11 +110,12 @@ def pack(
         F.floor(place / fit).alias("batch"),
         (place % fit).alias("slot"),
         (F.col("bucket_length") - F.col("n_tokens")).alias("padding"),
+        *carried,
     )
 
 
 def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per sequence of at most 4096 word tokens: doc_id, piece, first_token, n_tokens, bucket, bucket_length, batch, slot, padding."""
+    """Per sequence of at most 4096 tokens: doc_id, piece, first_token, n_tokens, bucket, bucket_length, batch, slot, padding."""
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 

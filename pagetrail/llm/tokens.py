@@ -8,15 +8,13 @@ are joined with the spans of the sections. A token that crosses a boundary goes,
 
 Tokens of no section (sections may leave gaps) are counted under section -1, so the counts of a document always add up to
 its number of tokens. Null and empty texts have their sections with 0 tokens; a document without sections has the row -1.
-A run of more than ``LONGEST_RUN`` characters without white space is encoded in pieces of that length: the time that
-merging takes grows with the square of a run.
+Repeated rows have their sections each; columns of ``docs`` other than doc_id and text aren't read, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -26,7 +24,6 @@ from pyspark.sql import types as T
 
 from pagetrail.llm.textcodes import slices
 
-LONGEST_RUN = 8_000
 # Fixed value: how the tokenizer's vocabulary expects texts to be split.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPAN = T.ArrayType(
@@ -65,9 +62,30 @@ def _encoder(ranks: bytes, split: str):
 
 def token_ends(text: str, encoder, lengths: np.ndarray) -> np.ndarray:
     """Where each token of a text ends, in bytes."""
-    runs = re.split(rf"(\S{{{LONGEST_RUN}}})", text) if len(text) > LONGEST_RUN else [text]
-    parts = [lengths[np.asarray(encoder.encode_ordinary(run), np.int64)] for run in runs if run]
-    return np.cumsum(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+    return np.cumsum(lengths[np.asarray(encoder.encode_ordinary(text), np.int64)])
+
+
+def token_ids(docs: DataFrame, vocabulary: str, split: str = SPLIT) -> DataFrame:
+    """doc_id and token_ids for each row of ``docs`` (doc_id, text), each text encoded whole; none for null and empty texts."""
+    return _encoded(docs, vocabulary, split, "token_ids array<int>", lambda rows: pa.array(rows, pa.list_(pa.int32())))
+
+
+def token_counts(docs: DataFrame, vocabulary: str, split: str = SPLIT) -> DataFrame:
+    """doc_id and n_tokens for each row of ``docs`` (doc_id, text), each text encoded whole; 0 for null and empty texts."""
+    return _encoded(docs, vocabulary, split, "n_tokens bigint", lambda rows: pa.array(map(len, rows), pa.int64()))
+
+
+def _encoded(docs: DataFrame, vocabulary: str, split: str, field: str, column: Callable[[list], pa.Array]) -> DataFrame:
+    ranks = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, _ = _encoder(ranks.value, split)
+        for batch in slices(batches):
+            rows = [encoder.encode_ordinary(text) if text else [] for text in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], column(rows)], names=["doc_id", field.split()[0]])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, {field}")
 
 
 def attribute(ends: np.ndarray, starts: np.ndarray, stops: np.ndarray, rule: str) -> np.ndarray:

@@ -53,6 +53,8 @@ def test_equal_items_blocks_and_clashing_columns(spark):
     whole = d.find_overlaps(docs, benchmark).collect()
     blocks = d.find_overlaps(docs, benchmark, block_words=20).collect()
     assert [sorted(r.overlaps) for r in whole] == [sorted(r.overlaps) for r in blocks]
+    # each block is scanned for in a stage of its own
+    assert d.find_overlaps(docs, benchmark, block_words=20)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert [o.item_id for o in whole[0].overlaps] == [1, 9]
     clean = d.decontaminate(docs, benchmark)
     assert clean.columns == docs.columns and [tuple(r) for r in clean.collect()] == [(3, "clean", "mine", 1)]
@@ -80,3 +82,55 @@ def test_items_are_found_by_brute_force_in_long_texts(spark):
     found = {r.doc_id: {o.item_id for o in r.overlaps} - {9} for r in d.find_overlaps(docs, benchmark).collect()}
     assert {i: x for i, x in found.items() if x - {5}} == {i: found[i] for i in planted}
     assert all(planted[i] in found[i] for i in planted)
+
+
+def diagonal_scan(text, item):
+    """Whether some placing of the item over the text meets one of the two rules, by comparing every word of every placing."""
+    for d_ in range(-len(item) + 1, len(text)):
+        equal = [0 <= d_ + k < len(text) and text[d_ + k] == w for k, w in enumerate(item)]
+        if sum(equal) >= d.ITEM_SHARE * len(item):
+            return True
+        there = [k for k, e in enumerate(equal) if e]
+        for x, a in enumerate(there):
+            for y in range(len(there) - 1, x, -1):
+                size = there[y] - a + 1
+                if size >= d.STRETCH_WORDS and 5 * (size - (y - x + 1)) <= size:
+                    return True
+    return False
+
+
+def test_recall_against_a_diagonal_scan(spark):
+    """Random substitutions of 10 to 40 percent, and every second to tenth word replaced, in items of 8 to 60 words."""
+    r = random.Random(11)
+    items = [words(n) for n in (8, 10, 12, 15, 20, 25, 30, 40, 60)]
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    texts, wanted = [], []
+    for i, item in enumerate(items):
+        for share in (0.1, 0.2, 0.3, 0.35, 0.4):
+            for _ in range(6):
+                gone = set(r.sample(range(len(item)), int(share * len(item))))
+                texts.append(words(30) + [w if k not in gone else "zz" for k, w in enumerate(item)] + words(30))
+                wanted.append((i, "random"))
+        for every in range(2, 11):
+            for first in range(every):
+                texts.append(words(20) + [w if (k + first) % every else "zz" for k, w in enumerate(item)] + words(20))
+                wanted.append((i, "periodic"))
+    docs = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(texts)], "doc_id bigint, text string")
+    found = {row.doc_id: {o.item_id for o in row.overlaps} for row in d.find_overlaps(docs, benchmark).collect()}
+    accepted = [diagonal_scan(text, items[i]) for text, (i, _) in zip(texts, wanted)]
+    hit = [i in found[k] for k, (i, _) in enumerate(wanted)]
+    assert not any(h and not a for h, a in zip(hit, accepted))
+    for kind, least in (("random", 0.98), ("periodic", 1)):
+        own = [h for h, a, (_, x) in zip(hit, accepted, wanted) if a and x == kind]
+        assert len(own) > 150 and sum(own) >= least * len(own)
+
+
+def test_common_phrases_are_compared_at_once(spark):
+    """Phrases that items and texts share everywhere, and equal words in very long texts, are no overlaps."""
+    phrase = ["of", "the", "same"]
+    items = [sum((phrase + [w] for w in words(12)), []) for _ in range(40)]
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    text = sum((phrase + words(9) for _ in range(3000)), [])
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(text + items[7]))], "doc_id bigint, text string")
+    found = {row.doc_id: {o.item_id for o in row.overlaps} for row in d.find_overlaps(docs, benchmark).collect()}
+    assert all(diagonal_scan(text[:900], items[i]) for i in found[1]) and 7 in found[2]

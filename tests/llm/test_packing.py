@@ -36,7 +36,8 @@ def test_packs_every_token_once_within_the_budget(spark):
     rows = [(i if i != 3 else None, " ".join(["w"] * n) or (None if i else ""), 1) for i, n in enumerate(sizes)]
     rows += [rows[5]] * 3
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, bucket int")
-    out = packing.pack(docs, max_length=10, buckets=3, token_budget=40).collect()
+    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda x: x != ""))
+    out = packing.pack(docs, words, max_length=10, buckets=3, token_budget=40).collect()
     tokens = Counter()
     for x in out:
         assert 0 <= x.n_tokens <= x.bucket_length <= 10 and x.padding == x.bucket_length - x.n_tokens
@@ -64,3 +65,24 @@ def test_empty_table_and_own_lengths(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
     assert packing.pack(docs.limit(0)).count() == 0
     assert packing.pack(docs, tokens=F.length("text")).first().n_tokens == 5
+
+
+def test_tokens_of_whole_texts(spark):
+    import base64
+
+    import tiktoken
+
+    from pagetrail.llm import tokens
+
+    with open(tokens.vocabulary_path(), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    encoder = tiktoken.Encoding("test", pat_str=tokens.SPLIT, mergeable_ranks=ranks, special_tokens={})
+    texts = {1: "One text with some words, and more of them. " * 9, 2: None, 3: "", 4: "日本語🙂" * 30, 5: "x" * 5000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").withColumn("token_ids", F.lit(1))
+    out = packing.pack(docs, max_length=32, buckets=4, token_budget=128, with_ids=True).collect()
+    plain = packing.pack(docs, max_length=32, buckets=4, token_budget=128)
+    assert sorted(map(tuple, plain.collect())) == sorted(tuple(r)[:-1] for r in out)
+    for i, text in texts.items():
+        own = sorted((r for r in out if r.doc_id == i), key=lambda r: r.piece)
+        assert all(len(r.token_ids) == r.n_tokens <= 32 for r in own)
+        assert sum((r.token_ids for r in own), []) == encoder.encode_ordinary(text or "")
