@@ -8,16 +8,21 @@ integers, so a model does not depend on how the rows are dealt out.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetrail.session import materialize, remove_scratch, scratch_path
 
+# executors run the functions of this module as the driver sends them and need no installed copy
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROUNDS, DEPTH, RATE = 300, 6, 0.05
 MAX_BINS = 255
 LEAST_ROWS = 20
@@ -27,7 +32,7 @@ LEAST_GAIN = 1e-6
 # Gradients are multiples of 2^-30.
 _UNIT = 1 << 30
 # Rounds after which the margins of all rows are written anew; until then they follow from the rounds since.
-_ROUNDS_KEPT = 10
+_ROUNDS_KEPT = 5
 # Rows that one task sums.
 _TASK_ROWS = 16_384
 _LEAF = -1
@@ -132,7 +137,7 @@ def bin_edges(train: DataFrame, features: str = "features", most: int = MAX_BINS
     return [np.array(sorted(found[i])) for i in sorted(found)]
 
 
-def _sums(state: DataFrame, trees, grown, level: int, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sums(state: DataFrame, tasks: int, trees, grown, level: int, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions (class, node of the level, feature, bin) and the gradients, Hessians and rows there."""
     classes, wide, bins_of_all = grown[0].shape[0], 1 << level, int(offsets[-1])
 
@@ -154,6 +159,8 @@ def _sums(state: DataFrame, trees, grown, level: int, offsets: np.ndarray) -> tu
         yield pa.record_batch({"at": pa.array(at), "g": g, "h": h, "n": n})
 
     parts = state.mapInArrow(add, "at bigint, g bigint, h bigint, n bigint")
+    if tasks == 1:
+        parts = parts.coalesce(1)  # sums of one task need no shuffle
     found = parts.groupBy("at").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).toArrow()
     return found["at"].to_numpy(), np.stack([found[c].to_numpy() for c in "ghn"])
 
@@ -220,7 +227,8 @@ def fit(
 
     schema = "label int, bins array<int>, margins array<double>"
     path = scratch_path(spark, "boosting")
-    dealt = train.select("features", "label").repartition(max(1, -(-total // _TASK_ROWS)))
+    tasks = max(1, -(-total // _TASK_ROWS))
+    dealt = train.select("features", "label").repartition(tasks)
     state = materialize(dealt.mapInArrow(prepare, schema), "boosting", path)
     shape = (classes, nodes)
     feature, cut = (np.full((rounds, *shape), x, np.int64) for x in (_LEAF, 0))
@@ -230,7 +238,7 @@ def fit(
         grown = feature[number], cut[number], value[number]
         since = slice(written, number)
         for level in range(depth):
-            at, sums = _sums(state, (feature[since], cut[since], value[since]), grown, level, offsets)
+            at, sums = _sums(state, tasks, (feature[since], cut[since], value[since]), grown, level, offsets)
             if not _split(at, sums, grown, level, offsets, rate, least_rows):
                 break
         if number + 1 - written == _ROUNDS_KEPT and number + 1 < rounds:

@@ -7,16 +7,21 @@ commit, gets the same messages again: from its checkpoint, or, without one, from
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from pagetrail.session import hadoop_path, qualified
 
+# workers run the source as the driver sends it and need no installed copy
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SOURCE = "message_queue"
 SCHEMA = "message_id bigint, published timestamp, value binary"
 
