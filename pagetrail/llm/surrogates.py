@@ -1,17 +1,23 @@
 r"""Operator 8: personal data replaced by keyed surrogates, with built-in functions only.
 
-Detected: e-mail addresses, names after a form of address, access keys, passwords after ``password=``, hexadecimal tokens of any
-length from 32, IBANs, social security numbers, IP addresses, phone and card numbers. A surrogate is derived from a keyed hash of the entity and
-
-* has its type and format: separators, letter case, length, country prefix; card numbers and IBANs have a valid check digit
-  if the original has; e-mail addresses of one domain share a domain; tokens stay hexadecimal;
-* of a name has its script (Latin, Cyrillic, Greek) and, for given names, the gender that the form of address tells; given
-  and family names are entities of their own, so "Mrs Anna Berg" and "Mrs Berg" stay one family;
-* is the same wherever the entity occurs (coreference), and no other entity has it (distinctness): surrogates are checked
-  against each other and against all entities of the corpus, and those that collide are derived anew.
-
-Null texts stay null, texts without entities are not touched or shuffled. Repeated rows give equal results. ``n_chars``, if
-there, follows the new text. Columns named ``n_entities`` or ``entity_types`` are replaced where they are asked for.
+Detected: e-mail addresses, names after a form of address (any number of given names and initials, particles, family names with
+apostrophes or hyphens) and further mentions of those names in the same text, access keys, passwords after ``password=``, hexadecimal
+tokens of any length from 32, IBANs, social security numbers, IP addresses of both versions, phone and card numbers. Phone
+numbers of seven digits need a word such as "call" before them or the exchange 555. A surrogate is derived from a keyed hash of the
+entity and
+
+* has its type and format: separators, letter case, length, country prefix; card numbers and IBANs have valid check digits
+  if the original has, and only then; e-mail addresses of one domain share a domain; tokens stay hexadecimal;
+* of a name has its script (Latin, Cyrillic, Greek) and, for given names, the gender that forms of address tell most often in
+  all texts; given and family names are entities of their own, so "Dr Anna Berg", "Mrs Anna Berg" and "Mrs Berg" stay one person;
+* is the same wherever the entity occurs (coreference; letter case of e-mail addresses doesn't matter), and no other entity has it
+  (distinctness): surrogates are checked against each other and against all entities of the corpus, and those that collide are
+  derived anew.
+
+Null texts stay null, texts without entities are not touched or shuffled. Repeated rows give equal results, and of entities that
+start at one place the first type of ``PATTERNS`` counts. No length of a text, or of a run in it, changes what is found. ``n_chars``, if
+there, follows the new text. Columns named ``n_entities`` or ``entity_types`` are replaced where they are asked for; other columns are
+carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.session import materialize
+from pagetrail.session import materialize, scratch_path
 
 # Forms of address by the gender that they tell.
 MALE = ("Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Господин", "Κύριος")
@@ -30,22 +36,32 @@ _ADDRESS = "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Words that announce a password, in any letter case.
 _PASSWORD = "(?i:password|passwd|pwd)"
-#: All repetitions that a failed match would have to undo are bounded or possessive, so long runs cost no more than others.
+_WORD = r"\p{Lu}(?:['’]\p{Lu})?+\p{L}++(?:['’-]\p{L}++)*+"
+#: Words that belong to a family name, and words before a phone number.
+_PARTICLE = r"(?:von(?: und zu| der| den| dem)?+|van(?: der| den| de)?+|vom|zu|de(?: la| las| los)?+|del|della|di|da|dos|du|bin|ibn|al|el|ter|ten|af|av)"
+_CALLED = "(?i:phone|tel|telephone|call|fax|mobile|cell|whatsapp|sms|telefon|fon|handy|anruf|tél|téléphone|portable|teléfono|móvil)"
+_UNIT = rf"(?:{_PARTICLE} )?+(?:\p{{Lu}}\.|{_WORD})"
+_LEAD = rf"(?:(?:{_ADDRESS})\.? )++"
+_H16 = "[0-9A-Fa-f]{1,4}"
+#: Repetitions are possessive or as long as the format itself, so long runs are found whole and cost no more than others.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_ADDRESS})\.? ){{1,4}}\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++(?<=\p{L}\p{L})",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_LEAD}{_UNIT}(?: {_UNIT})*+",
     "key": r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "password": rf"(?<![A-Za-z0-9]){_PASSWORD}\s?[=:]\s?[^\s\"',;]+",
     "token": r"(?<![A-Za-z0-9])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{32,}+(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
+    "ipv6": rf"(?<![\w:.])(?=[:A-Fa-f]*+[0-9])(?:(?:{_H16}:){{7}}{_H16}|(?=(?:[0-9A-Fa-f]{{0,4}}:){{2,7}}[0-9A-Fa-f]{{0,4}}(?![\w:]))"
+    rf"(?:{_H16}(?::{_H16})*+)?+::(?:{_H16}(?::{_H16})*+)?+)(?![\w:])",
     "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"
+    rf"|(?<![\w.+-])[2-9]\d{{9}}(?![\w-]|\.\d)|(?<![\w.+-])(?:(?<={_CALLED}[.:]? ?)[2-9]\d{{2}}|555)[ .-]?\d{{4}}(?![\w-]|\.\d)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every entity holds one of these; most texts do not.
-HINT = rf"[0-9@]|(?=[pP{''.join(sorted({x[0] for x in (*MALE, *FEMALE, *NEUTRAL)}))}])(?:{_PASSWORD}\s?[=:]|(?:{_ADDRESS})\.? \p{{Lu}})"
+HINT = rf"[0-9@]|(?=[pP{''.join(sorted({x[0] for x in (*MALE, *FEMALE, *NEUTRAL)}))}])(?:{_PASSWORD}\s?[=:]|(?:{_ADDRESS})\.? \p{{L}})"
 #: From this attempt on the space of surrogates is widened, so that even the smallest one suffices.
 _WIDEN = 4
 
@@ -64,24 +80,52 @@ def matches(text: Column | str) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-_TYPE = "CASE " + " ".join(f"WHEN m RLIKE {_sql('^(?:' + p + ')$')} THEN '{t}'" for t, p in PATTERNS.items()) + " ELSE 'token' END"
+#: A match alone lacks what stands before it: seven digits are a phone number then.
+_ALONE = PATTERNS | {"phone": PATTERNS["phone"] + r"|[2-9]\d{2}[ .-]?\d{4}"}
+_TYPE = "CASE " + " ".join(f"WHEN m RLIKE {_sql('^(?:' + p + ')$')} THEN '{t}'" for t, p in _ALONE.items()) + " ELSE 'token' END"
 _GENDER = (
     f"CASE WHEN m RLIKE {_sql('^(?:' + '|'.join(MALE) + r')\b')} THEN 'm' "
     f"WHEN m RLIKE {_sql('^(?:' + '|'.join(FEMALE) + r')\b')} THEN 'f' ELSE 'n' END"
 )
-_BARE = f"regexp_replace(m, {_sql(rf'^(?:(?:{_ADDRESS})\.? ){{1,4}}')}, '')"
-_FAMILY = f"regexp_extract({_BARE}, '([^ -]+)$', 1)"
-_GIVEN = f"regexp_extract({_BARE}, '^(.+)[ -][^ -]+$', 1)"
-#: Parts of a match with a surrogate of their own: a key "type|value" each.
-_PARTS = f"""CASE {_TYPE}
-  WHEN 'name' THEN IF({_GIVEN} = '', array(concat('family|', {_FAMILY})),
-                      array(concat('given_', {_GENDER}, '|', {_GIVEN}), concat('family|', {_FAMILY})))
-  WHEN 'password' THEN array(concat('password|', regexp_replace(m, '^[A-Za-z]+\\\\s?[=:]\\\\s?', '')))
-  ELSE array(concat({_TYPE}, '|', m)) END"""
+_BARE = f"regexp_replace(m, {_sql('^' + _LEAD)}, '')"
 
 
-def _parts(found: str) -> Column:
-    return F.expr(f"array_distinct(flatten(transform({found}, m -> {_PARTS})))")
+def _one(key: str) -> str:
+    """Pieces of a match that is one entity: text before it, the entity and its key."""
+    return f"array(named_struct('gap', '', 'text', m, 'key', {key}))"
+
+
+_NAME_KEY = (
+    "CASE WHEN w RLIKE '^\\\\p{Ll}' THEN CAST(NULL AS STRING) WHEN w RLIKE '^.[.]$' THEN concat('initial|', w) "
+    f"WHEN i = size(split({_BARE}, ' ')) - 1 THEN concat('family|', w) ELSE concat('given_', {_GENDER}, '|', w) END"
+)
+_LEAD_OF = f"regexp_extract(m, {_sql('^' + _LEAD)}, 0)"
+_PASSWORD_LEAD = "regexp_extract(m, '^[A-Za-z]+\\\\s?[=:]\\\\s?', 0)"
+#: A match as pieces (gap, text, key): the gap stays, the text is replaced by the surrogate of the key if it has one.
+_PIECES = f"""CASE WHEN array_contains(_family, m) THEN {_one("concat('family|', m)")}
+  WHEN array_contains(_given, m) THEN {_one("concat('given_n|', m)")}
+  ELSE CASE {_TYPE}
+  WHEN 'name' THEN transform(split({_BARE}, ' '), (w, i) ->
+    named_struct('gap', IF(i = 0, {_LEAD_OF}, ' '), 'text', w, 'key', {_NAME_KEY}))
+  WHEN 'password' THEN array(named_struct('gap', {_PASSWORD_LEAD}, 'text', substr(m, length({_PASSWORD_LEAD}) + 1),
+    'key', concat('password|', substr(m, length({_PASSWORD_LEAD}) + 1))))
+  WHEN 'email' THEN {_one("concat('email|', lower(m))")}
+  ELSE {_one(f"concat({_TYPE}, '|', m)")} END END"""
+
+
+def _pieces(found: str) -> Column:
+    return F.expr(f"transform({found}, m -> {_PIECES})")
+
+
+def _names(kind: str) -> Column:
+    """The names of a kind among the matches of a text that later mentions are looked for, at least three letters long."""
+    key = f"x.key LIKE '{kind}%' AND length(x.text) > 2"
+    return F.expr(f"array_distinct(transform(filter(flatten(_pieces), x -> {key}), x -> x.text))")
+
+
+#: ANY, and the names of this text as whole words.
+_ANY_OF_TEXT = f"""IF(size(_family) + size(_given) = 0, {_sql(ANY)}, concat({_sql(ANY)}, '|(?<![\\\\p{{L}}\\\\p{{N}}])(?:\\\\Q',
+  array_join(concat(_family, _given), '\\\\E|\\\\Q'), '\\\\E)(?![\\\\p{{L}}\\\\p{{N}}])'))"""
 
 
 # ---- derivation of a surrogate from `value` and the hexadecimal hash `h` -------------------------------------------------
@@ -123,7 +167,11 @@ def _iban() -> str:
     rest = f"substr({_disguise('value')}, 5)"
     step = "(a, c) -> IF(c BETWEEN '0' AND '9', (a * 10 + CAST(c AS INT)) % 97, (a * 100 + ascii(c) - 55) % 97)"
     order = f"split(concat(replace({rest}, ' ', ''), substr(value, 1, 2), '00'), '')"
-    return f"concat(substr(value, 1, 2), lpad(CAST(98 - aggregate({order}, 0, {step}) AS STRING), 2, '0'), {rest})"
+    digits = f"(98 - aggregate({order}, 0, {step}))"
+    original = "split(concat(substr(replace(value, ' ', ''), 5), substr(value, 1, 4)), '')"
+    valid = f"aggregate({original}, 0, {step}) = 1"
+    other = f"(pmod({digits} - 1 + pmod(ascii(h), 95), 97) + 2)"
+    return f"concat(substr(value, 1, 2), lpad(CAST(IF({valid}, {digits}, {other}) AS STRING), 2, '0'), {rest})"
 
 
 def _name(ending: str) -> str:
@@ -156,6 +204,8 @@ _SURROGATE = f"""CASE type
   WHEN 'given_f' THEN {_name('f')}
   WHEN 'given_n' THEN {_name('n')}
   WHEN 'family' THEN {_name('n')}
+  WHEN 'initial' THEN concat(upper({_disguise("lower(substr(value, 1, 1))")}), '.')
+  WHEN 'ipv6' THEN {_disguise('value', hexadecimal=True)}
   WHEN 'key' THEN concat(substr(value, 1, 4), substr({_disguise('value')}, 5))
   WHEN 'token' THEN {_disguise('value', hexadecimal=True)}
   WHEN 'iban' THEN {_iban()}
@@ -173,7 +223,7 @@ def _derived(entities: DataFrame, secret: str, attempt: int) -> DataFrame:
     keyed = entities.withColumn("secret", F.lit(secret)).withColumn("attempt", F.lit(attempt))
     keyed = keyed.withColumn("h", F.expr(f"concat(sha2(concat(secret, sha2({seed}, 256)), 256), sha2(concat(secret, '|', {seed}), 256))"))
     more = "array_join(transform(sequence(1, attempt), i -> " + _pick("aeioulmnrst") + "), '')"
-    widened = f"IF(attempt >= {_WIDEN} AND (type = 'family' OR type LIKE 'given%'), concat(s, {more}), s)"
+    widened = f"IF(attempt >= {_WIDEN} AND (type IN ('family', 'initial') OR type LIKE 'given%'), concat(s, {more}), s)"
     return keyed.withColumn("s", F.expr(_SURROGATE)).withColumn("surrogate", F.expr(widened)).select("type", "value", "surrogate")
 
 
@@ -196,42 +246,71 @@ def surrogate_table(entities: DataFrame, secret: str) -> DataFrame:
         attempt += 1
 
 
+def _with_genders(entities: DataFrame) -> DataFrame:
+    """part and count of all entities as type, value and part; the type of a given name is that of its most frequent gender."""
+    kind, value = F.substring_index("part", "|", 1), F.expr("substr(part, instr(part, '|') + 1)")
+    split = entities.select("part", kind.alias("type"), value.alias("value"), "n")
+    given = split.filter("type LIKE 'given%'").groupBy("value").agg(
+        *(F.sum(F.when(F.col("type") == f"given_{g}", F.col("n")).otherwise(0)).alias(g) for g in "fm")
+    )
+    told = F.when((F.col("f") >= F.col("m")) & (F.col("f") > 0), "given_f").when(F.col("m") > 0, "given_m").otherwise("given_n")
+    given = given.select("value", told.alias("told"))
+    joined = split.join(given.withColumnRenamed("value", "_value"), F.col("type").like("given%") & (F.col("value") == F.col("_value")), "left")
+    return joined.select("part", F.coalesce("told", "type").alias("type"), "value")
+
+
 def pseudonymise(docs: DataFrame, secret: str, details: bool = False) -> DataFrame:
     """``docs`` with surrogates in ``text``; ``details`` adds n_entities and the sorted entity_types.
 
-    Only texts with entities take part in the joins: the table of their entities is joined with the surrogates, and the
-    surrogates of each text, by the hash of the text, with the documents.
+    Texts are searched once, and written apart by whether anything was found. Only texts with entities take part in the joins: the table
+    of their entities is joined with the surrogates, and the surrogates of each text, by the hash of the text, with the documents.
     """
+    spark = docs.sparkSession
     names = [c for c in docs.columns if not details or c not in ("n_entities", "entity_types")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names)).withColumn("_found", matches("text"))
-    with_any = F.size("_found") > 0
-    held = rows.filter(with_any).select(F.xxhash64("text").alias("_text"), _parts("_found").alias("parts"))
-    held = materialize(held.dropDuplicates(["_text"]).select("_text", F.explode("parts").alias("part")), "entity-places")
-    split = {"type": F.substring_index("part", "|", 1), "value": F.expr("substr(part, instr(part, '|') + 1)")}
-    table = surrogate_table(held.select("part").distinct().withColumns(split).select("type", "value"), secret)
-    table = table.select(F.concat_ws("|", "type", "value").alias("part"), "surrogate")
-    of_text = held.join(table, "part").groupBy("_text")
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col("text").alias("_body"))
+    rows = rows.withColumn("_found", matches("_body")).withColumn("_any", F.size("_found") > 0)
+    path = scratch_path(spark, "entity-rows")
+    rows.write.partitionBy("_any").parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    columns = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    no_types = F.array().cast("array<string>")
+    plain = [F.lit(0).alias("n_entities"), no_types.alias("entity_types")] if details else []
+    untouched = rows.filter("NOT _any").select(*columns, *plain)
+
+    none = F.array().cast("array<string>")
+    hits = rows.filter("_any").withColumns({"_family": none, "_given": none}).withColumn("_pieces", _pieces("_found"))
+    hits = hits.withColumns({"_family": _names("family|"), "_given": _names("given")})
+    # a name that is a given one here and a family one there counts as a family name
+    hits = hits.withColumn("_given", F.array_except("_given", "_family"))
+    again = F.size("_family") + F.size("_given") > 0
+    found = F.when(again, F.expr(f"regexp_extract_all(_body, {_ANY_OF_TEXT}, 0)")).otherwise(F.col("_found"))
+    hits = hits.withColumn("_found", found).withColumn("_pieces", _pieces("_found")).withColumn("_text", F.xxhash64("_body"))
+    hits = materialize(hits, "entity-texts")
+
+    every = hits.select("_text", F.explode(F.flatten("_pieces")).alias("x")).filter("x.key IS NOT NULL")
+    counted = materialize(every.groupBy("_text", F.col("x.key").alias("part")).agg(F.count("*").alias("n")), "entity-places")
+    entities = _with_genders(counted.groupBy("part").agg(F.sum("n").alias("n")))
+    entities = materialize(entities, "entity-parts")
+    table = surrogate_table(entities.select("type", "value"), secret)
+    table = entities.join(table, ["type", "value"]).select("part", "surrogate")
+    of_text = counted.join(table, "part").groupBy("_text")
     of_text = of_text.agg(F.map_from_entries(F.collect_list(F.struct("part", "surrogate"))).alias("_map"))
     of_text = materialize(of_text, "surrogates-by-text")
 
     # a hash that two texts share could leave an entity without surrogate; its type then stands in its place
-    part = "coalesce(try_element_at(_map, p), concat('[', substring_index(p, '|', 1), ']'))"
-    lead = "CASE WHEN p0 LIKE 'given%' OR p0 LIKE 'family|%' THEN regexp_extract(m, " + _sql(rf"^(?:(?:{_ADDRESS})\.? ){{1,4}}") + ", 0) " \
-        "WHEN p0 LIKE 'password|%' THEN regexp_extract(m, '^[A-Za-z]+\\\\s?[=:]\\\\s?', 0) ELSE '' END"
-    gap = "IF(p0 LIKE 'given%', substr(m, length(m) - length(substring_index(parts[1], '|', -1)), 1), '')"
-    one = f"concat({lead.replace('p0', 'parts[0]')}, array_join(transform(parts, p -> {part}), {gap.replace('p0', 'parts[0]')}))"
-    replaced = f"transform(_found, m -> aggregate(array({_PARTS}), '', (a, parts) -> {one}))"
-    changed = rows.filter(with_any).withColumn("_text", F.xxhash64("text")).join(of_text, "_text", "left")
-    pieces = F.split("text", ANY, -1)
-    text = F.array_join(F.zip_with(pieces, F.concat(F.expr(replaced), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    changed = changed.withColumn("text", text)
-    if "n_chars" in names:
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
-    number, types = F.size("_found"), F.expr(f"array_sort(array_distinct(transform(_found, m -> {_TYPE})))")
-    added = [number.alias("n_entities"), types.alias("entity_types")] if details else []
-    columns = [F.col(f"`{c}`") for c in names]
-    return changed.select(*columns, *added).unionByName(rows.filter(~with_any).select(*columns, *added))
+    new = "coalesce(try_element_at(_map, x.key), concat('[', substring_index(x.key, '|', 1), ']'))"
+    cased = f"IF(x.key LIKE 'email|%' AND x.text = upper(x.text), upper({new}), {new})"
+    one = f"concat(x.gap, IF(x.key IS NULL, x.text, {cased}))"
+    replaced = F.expr(f"transform(_pieces, p -> array_join(transform(p, x -> {one}), ''))")
+    changed = hits.join(of_text, "_text", "left")
+    between = F.expr(f"split(_body, {_ANY_OF_TEXT}, -1)")
+    text = F.array_join(F.zip_with(between, F.concat(replaced, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    changed = changed.withColumn("_new", text)
+    kinds = F.expr(f"array_sort(array_distinct(transform(_found, m -> IF(array_contains(_family, m) OR array_contains(_given, m), 'name', {_TYPE}))))")
+    added = [F.size("_found").alias("n_entities"), kinds.alias("entity_types")] if details else []
+    own = {"text": F.col("_new"), "n_chars": F.length("_new")}
+    columns = [own[c].cast(docs.schema[c].dataType).alias(c) if c in own else column for c, column in zip(names, columns, strict=True)]
+    return changed.select(*columns, *added).unionByName(untouched)
 
 
 #: The registered query needs some key; a real run passes its own.
