@@ -9,6 +9,9 @@
 * Calibration: one temperature that minimises the log loss of sampled rows that were kept out of training; a share ``DOUBT``
   of each label is spread over all languages, so that rows without any mistake do not ask for certainty.
 
+* Rejection (``keep_recognised``): texts whose calibrated score is nearer to what guessing gives than to the lowest thousandth of the scores
+  of rows that were kept out of training. Letters that are no text, and languages that were never learned, score near a guess.
+
 Null texts and texts without letters are ``und`` with score 0. Without any labelled row every text is ``und``. Ties go to
 the alphabetically first language. Extra columns are kept; columns named ``lang_pred`` or ``score`` are replaced.
 """
@@ -37,6 +40,8 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 2.0, 0.05, 0.002, 0.001
 CALIBRATION_SHARE = 0.2
 DOUBT = 0.001
+#: Share of the rows kept out of training that may score lower than what the rejection takes as low for a text.
+LOW_SHARE = 0.001
 TEMPERATURES = tuple(2 ** (i / 4) for i in range(-24, 13))
 UNDETERMINED = "und"
 _SIZE = 1 << BITS
@@ -48,6 +53,7 @@ class Model(NamedTuple):
     idf: np.ndarray  # per feature
     weights: np.ndarray  # features plus a constant, by language
     temperature: float
+    least: float = 0.0  # score below which a text counts as not recognised
 
 
 _KEPT: dict[str, np.ndarray] = {}
@@ -279,7 +285,17 @@ def fit(
     kept = features.filter(F.col("share") < CALIBRATION_SHARE)
     summed = kept.mapInArrow(losses, "i int, loss double").groupBy("i").agg(F.sum("loss").alias("loss")).collect()
     best = min(summed, key=lambda r: (r.loss, abs(TEMPERATURES[r.i] - 1)), default=None)
-    return Model(languages, idf, weights, 1.0 if best is None or best.loss == 0 else TEMPERATURES[best.i])
+    temperature = 1.0 if best is None or best.loss == 0 else TEMPERATURES[best.i]
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = _rows(pa.Table.from_batches([batch]))
+            found = [float(_softmax((value @ weights[at] + 0.1 * weights[_SIZE]) / temperature).max()) for _, at, value in rows]
+            yield pa.record_batch({"score": pa.array(found, pa.float64())})
+
+    low = F.percentile_approx("score", F.lit(LOW_SHARE), F.lit(100_000)).alias("low")
+    low = kept.mapInArrow(scores, "score double").agg(low).first()["low"]
+    return Model(languages, idf, weights, temperature, 0.0 if low is None else (1 / classes + low) / 2)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -288,7 +304,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(tuple(model))  # features times languages, whatever the input
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, idf, weights, temperature = sent.value
+        languages, idf, weights, temperature, _ = sent.value
         for batch in slices(batches):
             lang, score = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
             for i, found in enumerate(counts(batch["text"]) if languages else ()):
@@ -305,12 +321,14 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_recognised(docs: DataFrame, label: str = "lang", learn_from: Column | None = None) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, with the columns of ``docs``. Where no row is labelled, those with letters."""
+    """The rows of ``docs`` whose text is recognised as one of the learned languages, with the columns of ``docs``. Where no row is
+    labelled, those with letters."""
     model = fit(docs, label, learn_from)
     if not model.languages:
         return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     added = ("lang_pred", "score")
-    found = predict(set_aside(docs, added), model).filter(F.col("lang_pred") != UNDETERMINED)
+    found = predict(set_aside(docs, added), model)
+    found = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= model.least))
     return put_back(found, docs, added)
 
 

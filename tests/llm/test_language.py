@@ -60,3 +60,19 @@ def test_odd_rows_and_columns(spark):
 def test_one_language_only(spark):
     docs = spark.createDataFrame([(i, f"eins zwei {i}", "de") for i in range(9)], "doc_id bigint, text string, lang string")
     assert {r.lang_pred for r in language.predict(docs, language.fit(docs)).collect()} == {"de"}
+
+
+def test_noise_and_unknown_languages_are_rejected_and_labelled_texts_stay(spark):
+    import random
+
+    r = random.Random(1)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    noise = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n)) for n in (20, 100, 500, 3000) for _ in range(10)]
+    noise += ["Это русский текст о чем-то важном для всех", "これは日本語の文章です。", "zxqw kjhg qwrt plkj mnbv", "aGVsbG8gd29ybGQgdGhpcyBpcyBiYXNlNjQ="]
+    odd = spark.createDataFrame([(10**9 + i, text, None, "noise", len(text)) for i, text in enumerate(noise)], docs.schema)
+    kept = language.keep_recognised(docs.unionByName(odd), learn_from=~language.held_out()).select("doc_id", "lang", "n_chars").toPandas()
+    assert not (kept.doc_id >= 10**9).any()
+    with_letters = docs.filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull()).select("doc_id", "n_chars").toPandas()
+    stay = with_letters.doc_id.isin(kept.doc_id)
+    assert stay.mean() >= 0.999
+    assert stay[with_letters.n_chars < 40].mean() >= 0.97  # short ones
