@@ -168,9 +168,9 @@ ORACLE = {
         "request_logs", "http_requests", **ROUTED_CTES, failed=FAILED_LOG_SQL, countries=_COUNTRIES, **STAR_CTES),
     "star_denormalize": duckdb(DENORMALIZED_SQL, "request_logs", **STAR_CTES),
     "star_collated": duckdb(
-        """SELECT id AS event_id, client_ip, c.shown AS country, g.shown AS gender, age, i.shown AS income, is_banned, time_of_day,
+        """SELECT k.id AS event_id, k.client_ip, c.shown AS country, g.shown AS gender, k.age, i.shown AS income, is_banned, time_of_day,
              requested_file, request_time
-           FROM kept k JOIN ips USING (client_ip) JOIN names c ON c.kind = 'c' AND c.folded = ips.folded
+           FROM kept k JOIN ips ON ips.client_ip = k.client_ip JOIN names c ON c.kind = 'c' AND c.folded = ips.folded
            JOIN names g ON g.kind = 'g' AND g.folded = k.gender AND g.age IS NOT DISTINCT FROM k.age AND g.other = k.income
            JOIN names i ON i.kind = 'i' AND i.folded = k.income AND i.age IS NOT DISTINCT FROM k.age AND i.other = k.gender""",
         "request_logs", spelled=_SPELLED, kept=_KEPT,
