@@ -1,7 +1,7 @@
 r"""Operator 6: WARC archives written from and read to a table of chunks.
 
-A payload is a run of rows (record_id, chunk_no, chunks, data), so that no task ever needs a payload as a whole: digests are
-carried from chunk to chunk, and each chunk becomes a WARC record of its own, a ``response`` followed by ``continuation``
+A payload is a run of rows (record, chunk_no, chunks, data). Pages are cut where they are read; what is shuffled, sorted and written
+are chunks. Digests are carried from chunk to chunk, and each chunk becomes a WARC record of its own, a ``response`` followed by ``continuation``
 records with segment numbers as the WARC format defines them. Archives are written and read by Spark's own text format with
 ``\r\n\r\n`` as the separator, which ends a WARC record, gzip compressed, so any store that Spark knows will do.
 
@@ -40,41 +40,43 @@ def chunks(rows: DataFrame, payload: Column, key: list[str], chunk_bytes: int =
     return split.select(*key, "chunk_no", "chunks", piece.alias("data"))
 
 
-def digests(table: DataFrame, key: list[str]) -> DataFrame:
-    """key, payload_bytes and payload_digest of every payload of a chunk table whose chunks stand in order."""
+def digested(table: DataFrame, key: list[str]) -> DataFrame:
+    """A chunk table, whose chunks stand in order, with payload_bytes and payload_digest at the last chunk of every payload.
+
+    Digest and length are carried from chunk to chunk; a task holds a batch of chunks at a time.
+    """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         running, size = None, 0
         for batch in batches:
-            last, found = [], []
             numbers, totals = batch["chunk_no"].to_numpy(), batch["chunks"].to_numpy()
+            sizes, found = [None] * len(numbers), [None] * len(numbers)
             for i, data in enumerate(batch["data"]):
                 if numbers[i] == 0:
                     running, size = hashlib.sha256(), 0
                 running.update(data.as_buffer())
                 size += len(data.as_buffer())
                 if numbers[i] == totals[i] - 1:
-                    last.append(i)
-                    found.append((size, running.hexdigest()))
-            at = pa.array(last, pa.int64())
-            added = {"payload_bytes": pa.array([x[0] for x in found], pa.int64()), "payload_digest": pa.array([x[1] for x in found], pa.string())}
-            yield pa.RecordBatch.from_arrays([*(batch[c].take(at) for c in key), *added.values()], names=[*key, *added])
+                    sizes[i], found[i] = size, running.hexdigest()
+            added = [pa.array(sizes, pa.int64()), pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in held), *added], names=[*held, "payload_bytes", "payload_digest"]
+            )
 
-    kinds = ", ".join(f"`{c}` {table.schema[c].dataType.simpleString()}" for c in key)
-    return table.mapInArrow(digest, f"{kinds}, payload_bytes bigint, payload_digest string")
+    held = [*key, "chunk_no", "chunks", "data"]
+    kinds = ", ".join(f"`{c}` {table.schema[c].dataType.simpleString()}" for c in held)
+    return table.select(*held).mapInArrow(digest, f"{kinds}, payload_bytes bigint, payload_digest string")
 
 
 def typed(found: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """``found`` (page_id, payload_bytes, payload_digest) with record_type and refers_to."""
+    """``found`` (page_id, payload_bytes, payload_digest and any other columns) with record_type and refers_to."""
     firsts = found.filter(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes")
     firsts = firsts.agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     firsts = materialize(firsts, "warc-firsts")
     joined = found.join(firsts, ["payload_digest", "payload_bytes"], "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select(
-        "page_id",
-        "payload_bytes",
-        "payload_digest",
+        *found.columns,
         F.when(again, "revisit").otherwise("response").alias("record_type"),
         F.when(again, F.col("first")).alias("refers_to"),
     )
@@ -117,21 +119,23 @@ def records(table: DataFrame) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> None:
-    """Archives of ``pages`` (page_id, url, html and any other columns) in a folder, one file per task."""
-    table = chunks(pages.select("page_id", "url", "html"), F.col("html"), ["page_id"], chunk_bytes)
-    found = typed(materialize(digests(table, ["page_id"]), "warc-digests"))
-    found = found.dropDuplicates(["page_id", "payload_digest"])
-    # a page's type and the page meet by its id and the digest of its payload, which tells rows with one id apart
-    keyed = pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("html"))
-    keyed = keyed.withColumn("payload_digest", F.sha2("html", 256))
-    same = keyed["page_id"].eqNullSafe(found["page_id"]) & (keyed["payload_digest"] == found["payload_digest"])
-    rows = keyed.join(found, same).select(
-        keyed["page_id"], "url", found["payload_digest"], "payload_bytes", "record_type", "refers_to",
-        F.when(F.col("record_type") == "response", F.col("html")).otherwise(F.lit(b"")).alias("html"),
-    )
-    key = ["page_id", "url", "payload_digest", "payload_bytes", "record_type", "refers_to"]
-    out = records(chunks(rows, F.col("html"), key, chunk_bytes))
-    out.write.option("lineSep", SEPARATOR).option("compression", "gzip").mode("errorifexists").text(path)
+    """Archives of ``pages`` (page_id, url, html and any other columns) in a folder, one file per task.
+
+    Pages are numbered and cut into chunks once. From then on only chunks move: their records' types, which follow from the digests,
+    are joined to them by the number, and those of a record go to one task in order.
+    """
+    own = pages.select("page_id", "url", "html").withColumn("record", F.monotonically_increasing_id())
+    key = ["record", "page_id", "url"]
+    table = materialize(digested(chunks(own, F.col("html"), key, chunk_bytes), key), "warc-chunks")
+    found = table.filter("payload_digest IS NOT NULL").select("record", "page_id", "payload_bytes", "payload_digest")
+    types = materialize(typed(found).drop("page_id"), "warc-types")
+    rows = table.drop("payload_bytes", "payload_digest").join(types, "record")
+    response = F.col("record_type") == "response"
+    rows = rows.filter(response | (F.col("chunk_no") == 0)).withColumns(
+        {"data": F.when(response, F.col("data")).otherwise(F.lit(b"")), "chunks": F.when(response, F.col("chunks")).otherwise(1)}
+    )
+    ordered = rows.repartition("record").sortWithinPartitions("record", "chunk_no")
+    records(ordered).write.option("lineSep", SEPARATOR).option("compression", "gzip").mode("errorifexists").text(path)
 
 
 class _Reader:

@@ -78,3 +78,22 @@ def test_equals_sql(spark, sf):
     expected = connection.sql(warc.ORACLE["op6_warc"])
     assert found.columns == expected.columns
     assert sorted(map(tuple, found.collect())) == sorted(expected.fetchall())
+
+
+def test_only_chunks_are_shuffled(spark, monkeypatch):
+    """No plan moves a whole html between tasks, and chunks stay within their size."""
+    _, frame = pages(spark)
+    plans = []
+    before = warc.materialize
+
+    def recording(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return before(df, *rest)
+
+    monkeypatch.setattr(warc, "materialize", recording)
+    monkeypatch.setattr(warc, "records", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or written(df))
+    written = lambda df: df.select(warc.F.lit("x").alias("value"))
+    warc.write_warc(frame, scratch_path(spark, "warc-test"), 64)
+    assert "Exchange" not in plans[0] and "html" in plans[0]
+    assert all("html" not in plan for plan in plans[1:])
+    assert "Exchange" in plans[-1] and "data" in plans[-1]
