@@ -9,13 +9,17 @@ from pagetrail.operators.split import FOLDS
 from pagetrail.session import materialize
 
 FULL = -1
+MOST_CLASSES = 256
 # Rows of a part, as monotonically_increasing_id numbers them.
 _PART_BITS = 33
 
 
 def classes_of(train: DataFrame, label: str) -> list[str]:
-    """The classes in order; each becomes a column per encoded feature, so a label should have few."""
-    return [row[0] for row in train.select(label).distinct().orderBy(label).collect()]
+    """The classes in order; each becomes a column per encoded feature, so a label with more than ``MOST_CLASSES`` is an error."""
+    found = train.select(label).distinct().orderBy(label).limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"{label} has more than {MOST_CLASSES} classes")
+    return [row[0] for row in found]
 
 
 def _class_counts(train: DataFrame, keys: list[str], label: str, classes: list[str]) -> DataFrame:

@@ -31,6 +31,7 @@ class Profile:
     empty_before_embargo: bool = False
     reserved: tuple[str, ...] = ()
     forbidden_text: str = "Forbidden: Export to {country} is prohibited. Path: /{path}"
+    posts_refusals: bool = True  # over HTTP, besides the topic
 
 
 # The five generations and their message texts.
@@ -39,6 +40,7 @@ PROFILES = {
         strips_country=False,
         keeps_directories=False,
         forbidden_text="Forbidden: Export to {country} is prohibited.",
+        posts_refusals=False,
     ),
     "v4": Profile(),
     "v5": Profile(empty_before_embargo=True, reserved=("stats",)),
@@ -47,6 +49,7 @@ PROFILES = {
         embargo_status=403,
         reserved=("health",),
         forbidden_text="Forbidden export: country={country} path=/{path} pod={pod}",
+        posts_refusals=False,
     ),
 }
 
@@ -272,12 +275,10 @@ def parse_forbidden_posts(posts: DataFrame, column: str = "body") -> DataFrame:
     return parsed.withColumn("line", fill(HTTP_LINE, country=F.col("country"), path=F.col("path")))
 
 
-def channel_lines(forbidden: DataFrame) -> DataFrame:
-    """(request_id, ts, channel, line): each refused request as reported over the topic and over HTTP."""
-    topic = fill(TOPIC_LINE, message=F.col("message"))
-    direct = fill(HTTP_LINE, country=F.col("country"), path=F.col("path"))
-    both = F.array(
-        F.struct(F.lit("Pub/Sub").alias("channel"), topic.alias("line")),
-        F.struct(F.lit("HTTP").alias("channel"), direct.alias("line")),
-    )
-    return forbidden.select("request_id", "ts", F.inline(both))
+def channel_lines(forbidden: DataFrame, profile: str = "v5") -> DataFrame:
+    """(request_id, ts, channel, line): each refused request as reported over the topic and, by the profiles that do so, over HTTP."""
+    channels = {"Pub/Sub": fill(TOPIC_LINE, message=F.col("message"))}
+    if PROFILES[profile].posts_refusals:
+        channels["HTTP"] = fill(HTTP_LINE, country=F.col("country"), path=F.col("path"))
+    lines = [F.struct(F.lit(name).alias("channel"), line.alias("line")) for name, line in channels.items()]
+    return forbidden.select("request_id", "ts", F.inline(F.array(*lines)))

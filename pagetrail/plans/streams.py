@@ -28,6 +28,12 @@ def forbidden_stream(spark, sf_dir):
     return runs.appended(forbidden.forbidden_stream(requests), "forbidden")
 
 
+def forbidden_stream_v3(spark, sf_dir):
+    """The first generation reports over the topic only."""
+    requests = adapters.as_http_requests(_event_stream(spark, sf_dir))
+    return runs.appended(forbidden.forbidden_stream(requests, "v3"), "forbidden-v3")
+
+
 def _logged(spark, sf_dir, log):
     requests = adapters.as_http_requests(_event_stream(spark, sf_dir))
     rows = logs.log_stream(requests, existing_pages(spark, sf_dir), log)
@@ -82,7 +88,7 @@ def message_consumer(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (forbidden_stream, request_log_stream, failed_log_stream, stats_stream, zone_timeline_stream,
+    for f in (forbidden_stream, forbidden_stream_v3, request_log_stream, failed_log_stream, stats_stream, zone_timeline_stream,
               redelivery_stream, message_consumer)
 }
 
@@ -93,6 +99,9 @@ def _count(metric: str, value: str) -> str:
 
 ORACLE = {
     "forbidden_stream": CHANNEL_SQL,
+    "forbidden_stream_v3": duckdb(
+        f"""SELECT request_id, ts, 'Pub/Sub' AS channel, '[FORBIDDEN ACCESS via Pub/Sub] ' || message AS line
+            FROM ({_forbidden('v3', "'Forbidden: Export to ' || country || ' is prohibited.'")})""", "http_requests", routed=_routed("v3")),
     "request_log_stream": duckdb(REQUEST_LOG_SQL, "http_requests", **ROUTED_CTES),
     "failed_log_stream": duckdb(FAILED_LOG_SQL, "http_requests", **ROUTED_CTES),
     "stats_stream": duckdb(

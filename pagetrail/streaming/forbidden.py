@@ -10,7 +10,7 @@ from pagetrail.operators.requests import channel_lines, forbidden_events
 
 def forbidden_stream(requests: DataFrame, profile: str = "v5", pod: str = "") -> DataFrame:
     """(request_id, ts, channel, line) of a request stream, for an append sink."""
-    return channel_lines(forbidden_events(requests, profile, pod))
+    return channel_lines(forbidden_events(requests, profile, pod), profile)
 
 
 def received_messages(payloads: DataFrame) -> DataFrame:

@@ -158,6 +158,31 @@ def test_income_model_beats_the_threshold(training, method):
     assert country.accuracy(predicted, "actual_income", "predicted_income").first()[0] >= 0.40
 
 
+def test_full_training_on_all_classes(spark, training):
+    """Depth and rate of the operator; registered queries run its 300 rounds."""
+    parts = split.income_split(training)
+    fitted = income.train_income_model(parts, rounds=20)
+    again = income.train_income_model(parts, booster=fitted.model)
+    assert fitted.model.feature.shape == (20, 3, 127)
+    assert sorted(fitted.predictions.collect()) == sorted(again.predictions.collect())
+    assert country.accuracy(fitted.predictions, "actual_income", "predicted_income").first()[0] >= 0.40
+
+
+def test_labelled_rows_are_bounded(training):
+    rows = training.withColumn("features", F.array(F.lit(1.0)))
+    few = income._drawn(rows, 500)
+    assert 400 < few.count() < 600 and income._drawn(rows, None) is rows and income._drawn(rows, 2000) is rows
+    assert sorted(r.event_id for r in few.collect()) == sorted(r.event_id for r in income._drawn(rows.repartition(7), 500).collect())
+
+
+def test_too_many_classes_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "MOST_CLASSES", 2)
+    labels = spark.createDataFrame([("a",), ("b",), ("c",)], "income string")
+    with pytest.raises(ValueError):
+        encoding.classes_of(labels, "income")
+    assert encoding.classes_of(labels.limit(2), "income") == ["a", "b"]
+
+
 def test_metrics_lines():
     good, bad = income.model_metrics(1.0, 0.5), income.model_metrics(0.98765, 0.1)
     assert "country_model_accuracy=1.0000" in good and not any(line.startswith("warning=") for line in good)

@@ -32,6 +32,15 @@ def test_forbidden_stream_appends_once_over_runs(spark, tmp_path, rows):
     assert rows(spark.read.parquet(f"{out}/lines")) == rows(batch)
 
 
+def test_channels_follow_the_profile(spark, tmp_path):
+    source = f"{tmp_path}/in"
+    arrivals(spark, source, range(10))
+    for profile, channels in (("v3", {"Pub/Sub"}), ("v5", {"Pub/Sub", "HTTP"}), ("v9", {"Pub/Sub"})):
+        stream = runs.read_arrivals(spark, source, spark.read.parquet(source).schema)
+        jobs.stream_forbidden(stream, f"{tmp_path}/{profile}", profile)
+        assert {r.channel for r in spark.read.parquet(f"{tmp_path}/{profile}/lines").collect()} == channels
+
+
 def test_logs_append_once_over_runs_and_feed_the_report(spark, tmp_path, rows):
     source, out = f"{tmp_path}/in", f"{tmp_path}/out"
     pages = spark.createDataFrame([("1.html",), ("2.html",), ("3.html",)], "page string")
