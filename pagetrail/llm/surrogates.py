@@ -267,12 +267,13 @@ def pseudonymise(docs: DataFrame, secret: str, details: bool = False) -> DataFra
     """
     spark = docs.sparkSession
     names = [c for c in docs.columns if not details or c not in ("n_entities", "entity_types")]
-    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col("text").alias("_body"))
+    held = ["_body" if c == "text" else f"c{i}" for i, c in enumerate(names)]
+    rows = docs.select(*(F.col(f"`{c}`").alias(h) for c, h in zip(names, held, strict=True)))
     rows = rows.withColumn("_found", matches("_body")).withColumn("_any", F.size("_found") > 0)
     path = scratch_path(spark, "entity-rows")
     rows.write.partitionBy("_any").parquet(path)
     rows = spark.read.schema(rows.schema).parquet(path)
-    columns = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    columns = [F.col(h).alias(c) for c, h in zip(names, held, strict=True)]
     no_types = F.array().cast("array<string>")
     plain = [F.lit(0).alias("n_entities"), no_types.alias("entity_types")] if details else []
     untouched = rows.filter("NOT _any").select(*columns, *plain)
