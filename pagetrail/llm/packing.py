@@ -90,7 +90,9 @@ def pack(
     pieces = pieces.select(
         "doc_id", "piece", first.alias("first_token"), F.least(F.col("total") - first, F.lit(max_length)).cast("int").alias("n_tokens"), *carried
     )
-    pieces = materialize(pieces, "packing-pieces")
+    pieces = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()) if carried else pieces, "packing-pieces")
+    ids = pieces.select("_row", "token_ids") if carried else None
+    pieces = pieces.drop("token_ids")
     histogram = pieces.groupBy("n_tokens").count().collect()  # at most max_length + 1 rows
     bounds = optimal_boundaries([r.n_tokens for r in histogram], [r["count"] for r in histogram], buckets) or [0]
     limits = F.array(*(F.lit(b) for b in bounds))
@@ -100,7 +102,7 @@ def pack(
     ranked = hash_rank(placed, "bucket", "_id", seed)
     fit = F.greatest(F.floor(F.lit(token_budget) / F.greatest("bucket_length", F.lit(1))), F.lit(1))
     place = F.col("rank") - 1
-    return ranked.select(
+    packed = ranked.select(
         "doc_id",
         "piece",
         "first_token",
@@ -110,8 +112,10 @@ def pack(
         F.floor(place / fit).alias("batch"),
         (place % fit).alias("slot"),
         (F.col("bucket_length") - F.col("n_tokens")).alias("padding"),
-        *carried,
+        *(["_row"] if carried else []),
     )
+    # token ids stay where they are until the places are known, and are shuffled once
+    return packed.join(ids, "_row").drop("_row") if carried else packed
 
 
 def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
