@@ -129,12 +129,13 @@ def write_warc(pages: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> N
     table = materialize(digested(chunks(own, F.col("html"), key, chunk_bytes), key), "warc-chunks")
     found = table.filter("payload_digest IS NOT NULL").select("record", "page_id", "payload_bytes", "payload_digest")
     types = materialize(typed(found).drop("page_id"), "warc-types")
-    rows = table.drop("payload_bytes", "payload_digest").join(types, "record")
+    # the one shuffle of chunks; the join and the order of a record build on it
+    rows = table.drop("payload_bytes", "payload_digest").repartition("record").join(types, "record")
     response = F.col("record_type") == "response"
     rows = rows.filter(response | (F.col("chunk_no") == 0)).withColumns(
         {"data": F.when(response, F.col("data")).otherwise(F.lit(b"")), "chunks": F.when(response, F.col("chunks")).otherwise(1)}
     )
-    ordered = rows.repartition("record").sortWithinPartitions("record", "chunk_no")
+    ordered = rows.sortWithinPartitions("record", "chunk_no")
     records(ordered).write.option("lineSep", SEPARATOR).option("compression", "gzip").mode("errorifexists").text(path)
 
 
