@@ -14,13 +14,22 @@ from pagetrail.sources import corpus
 FIRST_N = 25
 
 
-def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus as the scan of a folder gives it: (path, content binary). Every tenth file has two bytes that are no UTF-8, and
-    some files could not be read."""
-    raw = F.encode("content", "UTF-8")
+def _whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as the scan of a folder gives it: (path, file_id, content binary)."""
+    return web_pages(spark, sf_dir).withColumn("content", F.encode("content", "UTF-8"))
+
+
+def _damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``_whole_files``, every tenth with two bytes more that are no UTF-8."""
+    raw = F.col("content")
     damaged = F.concat(F.unhex(F.lit("FF")), raw, F.unhex(F.lit("C3")))
-    content = F.when(F.col("file_id") % 25 == 7, F.lit(None)).when(F.col("file_id") % 10 == 0, damaged).otherwise(raw)
-    return web_pages(spark, sf_dir).select("path", content.alias("content"))
+    return _whole_files(spark, sf_dir).withColumn("content", F.when(F.col("file_id") % 10 == 0, damaged).otherwise(raw))
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``_damaged_files`` (path, content) of which some could not be read."""
+    content = F.when(F.col("file_id") % 25 == 7, F.lit(None)).otherwise(F.col("content"))
+    return _damaged_files(spark, sf_dir).select("path", content.alias("content"))
 
 
 def _listing(scanned: DataFrame) -> DataFrame:
@@ -28,7 +37,8 @@ def _listing(scanned: DataFrame) -> DataFrame:
 
 
 def corpus_scan(spark, sf_dir):
-    return _listing(corpus.kept_pages(corpus.pages_of(_files(spark, sf_dir))))
+    """Every page; the bytes that damaged ones have in excess are dropped."""
+    return _listing(corpus.kept_pages(corpus.pages_of(_damaged_files(spark, sf_dir))))
 
 
 def corpus_scan_skip(spark, sf_dir):
@@ -128,11 +138,10 @@ _OUTGOING = """SELECT file_id, CAST(SUM(len(regexp_extract_all(content, '(?i)HRE
     FROM web_pages GROUP BY 1"""
 _BIGRAMS = "SELECT bigram, COUNT(*) AS occurrences FROM pairs GROUP BY 1"
 _SCAN = "SELECT {id} AS file_id, CAST(length(content) AS BIGINT) AS chars, content FROM {source}"
-_READ = "(SELECT * FROM web_pages WHERE file_id % 25 <> 7)"
 _WHOLE = "(SELECT * FROM web_pages WHERE file_id % 25 <> 7 AND file_id % 10 <> 0)"
 
 ORACLE = {
-    "corpus_scan": duckdb(_SCAN.format(id="CAST(file_id AS VARCHAR)", source=_READ), "web_pages"),
+    "corpus_scan": duckdb(_SCAN.format(id="CAST(file_id AS VARCHAR)", source="web_pages"), "web_pages"),
     "corpus_scan_skip": duckdb(_SCAN.format(id="CAST(file_id AS VARCHAR)", source=_WHOLE), "web_pages"),
     "corpus_scan_numeric": duckdb(_SCAN.format(id="file_id", source=_WHOLE), "web_pages"),
     "corpus_first_n": duckdb(

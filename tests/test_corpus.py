@@ -1,6 +1,9 @@
+import duckdb
 import pytest
 
 from pagetrail import jobs
+from pagetrail.adapters import web_pages
+from pagetrail.plans import corpus as plans
 from pagetrail.sources import corpus
 
 
@@ -18,6 +21,25 @@ def folder(tmp_path):
     return str(tmp_path)
 
 
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Sixty pages, one of them without html."""
+    html = "CASE WHEN id <> 12 THEN concat('<p>\u00e9 \ufffd ', id, '</p>') END AS html"
+    spark.range(60).selectExpr("id AS page_id", html).write.parquet(f"{tmp_path}/tables/pages.parquet")
+    return f"{tmp_path}/tables"
+
+
+@pytest.mark.parametrize(("name", "id_type"), [("corpus_scan", "STRING")])
+def test_registered_scan_returns_every_page(spark, tables, rows, name, id_type):
+    """The query and its SQL return each page once, with its whole text."""
+    pages = rows(web_pages(spark, tables).selectExpr(f"CAST(file_id AS {id_type})", "length(content)", "content"))
+    assert len(pages) == 60 and all(content for _, _, content in pages)
+    assert rows(plans.QUERIES[name](spark, tables)) == pages
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW pages AS SELECT * FROM '{tables}/pages.parquet/*.parquet'")
+    assert sorted(duck.sql(plans.ORACLE[name]).fetchall(), key=repr) == pages
+
+
 def test_scan_drops_bytes_or_skips_files(spark, folder, rows):
     dropped = corpus.corpus_scan(spark, folder)
     assert rows(dropped, "file_id") == [("1",), ("10",), ("2",), ("about",)]
