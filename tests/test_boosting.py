@@ -112,3 +112,42 @@ def test_one_class_no_rows_and_unseen_values(spark):
     far = spark.createDataFrame([([1e9, -1e9, 0.5, 7.0], 0)], "features array<double>, label int")
     assert some.predict(far).first().winner in (0, 1, 2)
     assert some.predict(frame.limit(0)).collect() == []
+
+
+def test_one_task_grows_what_the_jobs_of_each_level_grow(spark, monkeypatch):
+    frame = spark.createDataFrame(table(1500, 4), "features array<double>, label int").repartition(3)
+    kinds = {"rate": 0.2, "most_bins": 40, "least_rows": 8}
+    whole = b.fit(frame, 3, rounds=7, depth=5, **kinds)
+    monkeypatch.setattr(b, "_WHOLE_ROWS", 0)
+    monkeypatch.setattr(b, "_TASK_ROWS", 400)
+    by_level = b.fit(frame, 3, rounds=7, depth=5, **kinds)
+    assert (whole.feature >= 0).sum() > 150
+    for name in ("start", "feature", "cut", "value"):
+        assert np.array_equal(getattr(whole, name), getattr(by_level, name))
+
+
+def test_margins_written_by_the_jobs_of_each_level(spark, monkeypatch):
+    frame = spark.createDataFrame(table(200), "features array<double>, label int")
+    monkeypatch.setattr(b, "_WHOLE_ROWS", 0)
+    whole = b.fit(frame, 3, rounds=5, depth=2)
+    monkeypatch.setattr(b, "_ROUNDS_KEPT", 2)
+    again = b.fit(frame.repartition(3), 3, rounds=5, depth=2)
+    assert np.array_equal(whole.feature, again.feature) and np.array_equal(whole.cut, again.cut)
+    assert np.allclose(whole.value, again.value, rtol=1e-9)
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_jobs_do_not_grow_with_the_rounds(spark):
+    """Each round had a job for each level, which for small tables took all the time."""
+    frame = spark.createDataFrame(table(300), "features array<double>, label int")
+    few = jobs_of(spark, "two rounds", lambda: b.fit(frame, 3, rounds=2, depth=4))
+    many = jobs_of(spark, "thirty rounds", lambda: b.fit(frame, 3, rounds=30, depth=4))
+    assert 0 < many == few
