@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pagetrail import jobs
 from pagetrail.operators import country, encoding, income, split
 from pagetrail.operators.ranking import hash_rank
+from pagetrail.plans import models
 
 
 @pytest.fixture(scope="module")
@@ -204,3 +205,32 @@ def test_training_job(spark, training, tmp_path):
     assert 300 <= places.count() <= 500 and 300 <= incomes.count() <= 500
     text = [r.value for r in spark.read.text(f"{tmp_path}/out/demo_metrics.txt").collect()]
     assert text[0] == "data_source=database"
+
+
+@pytest.fixture
+def queried(spark, tmp_path):
+    """Runs a query on a table of its own, whose model nothing has trained; its rows and the number of its jobs."""
+    columns = {
+        "event_id": "id", "ts": "timestamp_micros(1704067200000000 + id * 977000000)", "user_id": "id * id % 83",
+        "event_type": "'view'", "value": "CAST(id AS DOUBLE)", "props": "''",
+    }
+    events = spark.range(900).selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(50).selectExpr("id AS page_id", "'u' AS url", "'' AS html").write.parquet(f"{tmp_path}/pages.parquet")
+
+    def run(name):
+        spark.sparkContext.setJobGroup(str(tmp_path), name)
+        try:
+            found = models.QUERIES[name](spark, str(tmp_path)).collect()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(tmp_path)))
+
+    return run
+
+
+def test_income_predicted_needs_no_job_for_each_level(queried):
+    found, jobs = queried("income_predicted")
+    assert len({row.event_id for row in found}) == len(found) == 180
+    assert {row.predicted_income for row in found} <= {"low", "medium", "high", "Unknown"}
+    assert jobs < 600  # a job for each level of 300 rounds were 1,800
