@@ -234,3 +234,9 @@ def test_income_predicted_needs_no_job_for_each_level(queried):
     assert len({row.event_id for row in found}) == len(found) == 180
     assert {row.predicted_income for row in found} <= {"low", "medium", "high", "Unknown"}
     assert jobs < 600  # a job for each level of 300 rounds were 1,800
+
+
+def test_income_predictions_needs_no_job_for_each_level(queried):
+    found, jobs = queried("income_predictions")
+    assert len({row.event_id for row in found}) == len(found) == 180
+    assert all(row.predicted_is_class for row in found) and jobs < 600
