@@ -240,3 +240,9 @@ def test_income_predictions_needs_no_job_for_each_level(queried):
     found, jobs = queried("income_predictions")
     assert len({row.event_id for row in found}) == len(found) == 180
     assert all(row.predicted_is_class for row in found) and jobs < 600
+
+
+def test_model_metrics_needs_no_job_for_each_level(queried):
+    found, jobs = queried("model_metrics")
+    assert [row.position for row in found] == list(range(1, len(found) + 1)) and len(found) >= 6
+    assert found[3].line.startswith("income_model_accuracy ") and jobs < 600
